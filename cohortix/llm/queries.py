@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality
+from . import flac, mixing, ngramjoin, packing, quality
 from .common import table
 
 
@@ -20,6 +20,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(table(spark, sf_dir, "documents"))
+
+
+def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.read_media(flac.to_media(table(spark, sf_dir, "documents")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), "full-1")
     base = F.col("failures").bitwiseAND(F.lit(quality.policy_mask("base-1"))) != 0
@@ -29,6 +37,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_mixing": op4_mixing,
+    "op5_ngram_join": op5_ngram_join,
+    "op8_flac": op8_flac,
     "op10_quality_rules": op10_quality_rules,
 }
 
