@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import flac, lmscore, mixing, ngramjoin, packing, quality
+from . import flac, langid, lmscore, mixing, ngramjoin, packing, quality, toxicity
 from .common import table
 
 
@@ -28,6 +28,14 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.read_media(flac.to_media(table(spark, sf_dir, "documents")))
 
@@ -43,6 +51,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op4_mixing": op4_mixing,
     "op5_ngram_join": op5_ngram_join,
+    "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
     "op8_flac": op8_flac,
     "op10_quality_rules": op10_quality_rules,
 }
