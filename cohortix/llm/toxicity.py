@@ -2,7 +2,7 @@
 
 The positives are documents confirmed as toxic; everything else in the training
 part, labelled or not, is unlabelled text.  A linear classifier over the words
-of a text minimises the class-prior-corrected risk
+and word stems of a text minimises the class-prior-corrected risk
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
 in numpy on a sample of at most MOST_POSITIVES and MOST_UNLABELLED documents
 (the ones with the least hash of their id); where the bracket falls below zero,
@@ -18,6 +18,7 @@ if any of them says so; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 
 from .common import id_remainder, materialize
 
-MOST_POSITIVES = 4000
-MOST_UNLABELLED = 16000
-#: Words of the model at most, chosen by how far their document frequencies in both samples are apart.
+MOST_POSITIVES = 3000
+MOST_UNLABELLED = 9000
+#: Inflected and compound words share their first letters.
+STEMS = (4, 5)
+#: Words and stems of the model at most, chosen by how far their document frequencies in both samples are apart.
 MOST_WORDS = 1024
 LEAST_Z = 5.0
 STEPS = 400
@@ -46,24 +49,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(id_remainder(doc_id, divisor) == remainder, F.lit(False))
 
 
-def distinct_words(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+def features(text: str | None) -> set[str]:
+    """The distinct words of a text, the longer ones' stems of each length in STEMS (marked by a hyphen), and the stems of several distinct words (by two)."""
+    found = set(WORD.findall((text or "").lower()))
+    stems = Counter(w[:n] + "-" for n in STEMS for w in found if len(w) > n)
+    found.update(stems)
+    found.update(s + "-" for s, n in stems.items() if n > 1)
+    return found
+
+
+def matched_intercept(z: np.ndarray, positive: np.ndarray, prior: float) -> float:
+    """What to add to the scores z so that their mean probability over the unlabelled documents is the prior."""
+    low, high = -40.0, 40.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        if (1 / (1 + np.exp(-np.clip(z[~positive] + middle, -30, 30)))).mean() > prior:
+            high = middle
+        else:
+            low = middle
+    return low
 
 
 def risk_gradient(z: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray:
-    """Derivative of the non-negative risk (logistic loss) by the scores z."""
+    """Derivative of the non-negative risk (sigmoid loss, bounded for every score) by the scores z."""
     p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     n_p, n_u = max(1, int(positive.sum())), max(1, int((~positive).sum()))
-    loss_minus = np.logaddexp(0, z)
-    bracket = loss_minus[~positive].sum() / n_u - prior * loss_minus[positive].sum() / n_p
-    minus = np.where(positive, -prior * p / n_p, p / n_u)
-    plus = np.where(positive, prior * (p - 1) / n_p, 0.0)
+    bracket = p[~positive].sum() / n_u - prior * p[positive].sum() / n_p
+    slope = p * (1 - p)
+    minus = np.where(positive, -prior * slope / n_p, slope / n_u)
+    plus = np.where(positive, -prior * slope / n_p, 0.0)
     return plus + minus if bracket >= 0 else -minus
 
 
 def fit(index: np.ndarray, row: np.ndarray, positive: np.ndarray, n_words: int, prior: float) -> tuple[np.ndarray, float]:
     """Weights and intercept; index and row name the words present in each document. Steps are scaled per weight by their gathered squares."""
-    w, b = np.zeros(n_words), 0.0
+    w, b = np.zeros(n_words), float(np.log(prior / (1 - prior))) if prior < 1 else 0.0
     first_w, first_b, second_w, second_b = np.zeros(n_words), 0.0, np.zeros(n_words), 0.0
     n = len(positive)
     for t in range(1, STEPS + 1):
@@ -75,7 +95,8 @@ def fit(index: np.ndarray, row: np.ndarray, positive: np.ndarray, n_words: int,
         scale = RATE / (1 + t / 100)
         w -= scale * (first_w / (1 - 0.9**t)) / (np.sqrt(second_w / (1 - 0.99**t)) + 1e-6)
         b -= scale * (first_b / (1 - 0.9**t)) / (np.sqrt(second_b / (1 - 0.99**t)) + 1e-6)
-    return w, float(b)
+    z = np.bincount(row, w[index], n) + b
+    return w, float(b + matched_intercept(z, positive, prior))
 
 
 def least_by_hash(ids: DataFrame, most: int) -> DataFrame:
@@ -95,22 +116,28 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not prior or not n_p or not n_u:
         return {}, -50.0
-    rows = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "positive", "text")
+    rows = materialize(rows, "toxic-texts")
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p, u = Counter(), Counter()
         for batch in batches:
-            for doc_id, positive, text in zip(batch["doc_id"], batch["positive"], batch["text"], strict=True):
-                found = sorted(distinct_words(text))
-                yield pd.DataFrame({"doc_id": doc_id, "positive": positive, "word": found or [""]})
+            for positive, text in zip(batch["positive"], batch["text"], strict=True):
+                (p if positive else u).update(features(text))
+        found = list(p.keys() | u.keys())
+        yield pd.DataFrame({"word": found, "p": [p[w] for w in found], "u": [u[w] for w in found]}, columns=["word", "p", "u"]).astype({"word": object})
 
-    present = materialize(rows.select("doc_id", "positive", "text").mapInPandas(words, "doc_id long, positive boolean, word string"), "toxic-words")
-    df = present.groupBy("word").agg((F.count_if("positive") / n_p).alias("p"), (F.count_if(~F.col("positive")) / n_u).alias("u")).filter("word != ''")
+    df = rows.mapInPandas(count, "word string, p long, u long").groupBy("word").agg((F.sum("p") / n_p).alias("p"), (F.sum("u") / n_u).alias("u"))
     pooled = (F.col("p") * n_p + F.col("u") * n_u) / (n_p + n_u)
     z = (F.col("p") - F.col("u")) / F.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u) + F.lit(1e-12))
     top = df.withColumn("z", F.abs(z)).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(MOST_WORDS).select("word").collect()
     vocabulary = {r["word"]: i for i, r in enumerate(top)}
-    chosen_words = present.sparkSession.createDataFrame([(w, i) for w, i in vocabulary.items()] or [("", -1)], "word string, at int")
-    pairs = present.join(F.broadcast(chosen_words), "word").select("doc_id", "at").toPandas()
+
+    def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"].values, "at": [sorted(vocabulary[w] for w in features(t) & vocabulary.keys()) for t in batch["text"]]})
+
+    pairs = rows.mapInPandas(present, "doc_id long, at array<int>").select("doc_id", F.explode("at").alias("at")).toPandas()
     ids = sample.toPandas().sort_values("doc_id", ignore_index=True)
     row = np.searchsorted(ids["doc_id"].to_numpy(), pairs["doc_id"].to_numpy())
     w, b = fit(pairs["at"].to_numpy().astype(np.int64), row, ids["positive"].to_numpy().astype(bool), max(1, len(vocabulary)), float(prior))
@@ -124,7 +151,7 @@ def score(docs: DataFrame, weights: dict[str, float], intercept: float) -> DataF
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = weights.keys()
         for batch in batches:
-            z = np.array([intercept + sum(weights[w] for w in distinct_words(t) & known) for t in batch["text"]], dtype=float)
+            z = np.array([intercept + sum(weights[w] for w in features(t) & known) for t in batch["text"]], dtype=float)
             yield pd.DataFrame({"doc_id": batch["doc_id"].values, "score": 1 / (1 + np.exp(-np.clip(z, -700, 700)))})
 
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double")
