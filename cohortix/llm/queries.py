@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import flac, langid, lmscore, mixing, ngramjoin, packing, quality, toxicity
+from . import flac, htmltext, langid, lmscore, mixing, ngramjoin, packing, quality, toxicity
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.read_media(flac.to_media(table(spark, sf_dir, "documents")))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), "full-1")
     base = F.col("failures").bitwiseAND(F.lit(quality.policy_mask("base-1"))) != 0
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op8_flac": op8_flac,
+    "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
 }
 
