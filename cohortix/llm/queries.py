@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import flac, htmltext, langid, lmscore, mixing, ngramjoin, packing, quality, toxicity
+from . import flac, htmltext, langid, lmscore, mixing, ngramjoin, packing, pii, quality, toxicity
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -53,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
