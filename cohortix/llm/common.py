@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,28 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
 
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
+
+
+#: Bits of the filter that may_contain broadcasts: 8 MB, whatever the number of ids.
+FILTER_BITS = 1 << 26
+BUCKET_BITS = 1 << 15
+
+
+def may_contain(ids: DataFrame, column: Column) -> Column:
+    """A condition that holds for every value of column among the ids (of one column) and for few others while there are few of them.
+
+    It spares a shuffle of rows that a join would drop; the join stays. The filter has a fixed size.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    slots = ids.select(slot(F.col(ids.columns[0])).alias("slot"))
+    maps = slots.groupBy(F.floor(F.col("slot") / BUCKET_BITS).alias("bucket")).agg(F.bitmap_construct_agg((F.col("slot") % BUCKET_BITS)).alias("bits"))
+    bits = np.zeros((FILTER_BITS // BUCKET_BITS, BUCKET_BITS // 8), np.uint8)
+    for row in maps.toLocalIterator():
+        bits[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+    def holds(slots: pd.Series) -> pd.Series:
+        s = slots.to_numpy()
+        return pd.Series((shared.value[s >> 3] >> (s & 7).astype(np.uint8)) & 1).astype(bool)
+
+    return F.pandas_udf(holds, "boolean")(slot(column))

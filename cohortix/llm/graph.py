@@ -2,46 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 MOST_ROUNDS = 100
+#: Edges that a task contracts at once.
+CONTRACT = 500_000
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) edges -> (node, root): every node that has an edge, with the least node of its component.
 
-    Alternating large and small stars: each round replaces a node's edges by edges to the least node of its
-    neighbourhood, so long chains shrink geometrically. A node's neighbours are never gathered in a row: the minimum is
-    a combining aggregate and the star is a join, whose skewed keys adaptive execution splits. Each round is written to
-    the shared folder. Nulls and loops are left out; the types of a and b may be any orderable type.
+    First each task replaces the edges it holds by least stars of their components, without a shuffle. Then rounds of
+    large and small stars replace a node's edges by edges to the least node of its neighbourhood, so long chains shrink
+    geometrically. A node's neighbours are never gathered in a row: the minimum is a combining aggregate and the star is a
+    join, whose skewed keys adaptive execution splits. Each round is written to the shared folder; the rounds end when the
+    edges are stars with disjoint centres. Nulls and loops are left out; the types of a and b may be any orderable type.
     """
-    current = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    current = materialize(current, "stars")
-    before = state(current)
+    pairs = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    kind = pairs.schema["u"].dataType.simpleString()
+    current = materialize(pairs.mapInPandas(contract, f"u {kind}, v {kind}").distinct(), "stars")
     for _ in range(MOST_ROUNDS):
-        if before[0] == 0:
+        if is_forest(current):
             break
         current = materialize(small_star(large_star(current)), "stars")
-        after = state(current)
-        if after == before:
-            break
-        before = after
     roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def state(stars: DataFrame) -> tuple:
-    row = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges (u, v) -> star edges (node, least node of its component among the edges seen together)."""
+    parent: dict = {}
+
+    def find(x):
+        root = x
+        while parent[root] != root:
+            root = parent[root]
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    def flush() -> pd.DataFrame:
+        rows = [(x, r) for x in parent if (r := find(x)) != x]
+        return pd.DataFrame(rows, columns=["u", "v"])
+
+    for batch in batches:
+        for u, v in zip(batch["u"], batch["v"], strict=True):
+            parent.setdefault(u, u)
+            parent.setdefault(v, v)
+            a, b = find(u), find(v)
+            if a < b:
+                parent[b] = a
+            elif b < a:
+                parent[a] = b
+        if len(parent) > CONTRACT:
+            yield flush()
+            parent.clear()
+    if parent:
+        yield flush()
+
+
+def is_forest(stars: DataFrame) -> bool:
+    """Every node has one edge to a smaller node, or only edges to greater ones."""
+    ends = stars.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(stars.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    sums = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return sums.filter("down > 1 OR down + up > 1").isEmpty()
 
 
 def large_star(stars: DataFrame) -> DataFrame:
     both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("w"), F.least("u", "low").alias("m"))
-    return both.filter("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+    return both.filter("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
 
 
 def small_star(stars: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ that holds all classes, and a node chooses 1 / THRESHOLD coordinates on average
 and sends each class to one child per chosen coordinate, named by the class's
 token there.  Nodes of one class die; nodes of up to LIMIT classes are compared
 by brute force on sketches; larger ones link their classes to a leader where the
-sketches agree and, unless that has made them one component, choose again.  RUNS
-runs are repeated: a pair at the threshold is together in a run's first node with
-probability 0.8 or more, so RUNS give it up with less than 1e-6, and the nodes that
+sketches agree.  If few classes are then outside a node's largest component, they are
+compared with all of the node; otherwise the node chooses again.  RUNS
+runs are repeated: a pair at the threshold is together in one of a run's nodes at
+depth FIRST_DEPTH with a probability of 0.72 or more, so RUNS miss it with less than 1e-5, and the nodes that
 are still large at the last depth are compared in blocks, without a cap.
 
 The brute force of a node emits a spanning star of its candidate pairs, not the
@@ -34,13 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, may_contain
 from .graph import components
 
 N = 5
 THRESHOLD = 0.8
 COORDINATES = 128
 RUNS = 10
+FIRST_DEPTH = 2
 LIMIT = 512
 DEPTH = 4
 #: Sketches that agree in less than this are no candidates: more than four deviations (0.035) below the threshold.
@@ -109,30 +111,55 @@ def profile(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, key binary, sketch binary")
 
 
-def chosen(node: int, threshold: float) -> np.ndarray:
+def chosen(node: int, threshold: float, step: int = 0) -> np.ndarray:
     """The coordinates that a node splits on: 1 / threshold on average, one at least."""
-    rng = np.random.default_rng([SEED, node & 0xFFFFFFFF, node >> 32 & 0xFFFFFFFF])
+    rng = np.random.default_rng([SEED, step, node & 0xFFFFFFFF, node >> 32 & 0xFFFFFFFF])
     count = int(1 / threshold) + int(rng.random() < 1 / threshold - int(1 / threshold))
     return rng.choice(COORDINATES, count, replace=False)
 
 
-def children(threshold: float, roots: int = 0):
-    """Maps (node, key, sketch) to (node, key) of the children; roots: from that many roots instead of node."""
+def child_names(parent: np.ndarray, coordinate: int, values: np.ndarray) -> np.ndarray:
+    """The children that classes with these values at a coordinate go to, from their parents."""
+    return mixed(mixed(values.astype(np.uint64) + np.uint64(coordinate << 33)) + parent * MIX)
+
+
+def first_nodes(threshold: float, runs: int):
+    """Maps (key, sketch) to (node, key) at depth FIRST_DEPTH of each run: the nodes above hold too much in any case, so they are not counted.
+
+    Up to that depth a node's choice depends on the coordinates of its path alone.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        paths = [(r, ()) for r in range(runs)]
+        for step in range(FIRST_DEPTH):
+            paths = [(r, (*path, int(c))) for r, path in paths for c in chosen(hash((r, path)) & 0x7FFFFFFF, threshold, step + 1)]
+        for batch in batches:
+            if not len(batch):
+                continue
+            sketch = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, COORDINATES)
+            out = []
+            for r, path in paths:
+                name = np.full(len(batch), r + 1, np.uint64)
+                for c in path:
+                    name = child_names(name, c, sketch[:, c])
+                out.append(name.view(np.int64))
+            yield pd.DataFrame({"node": np.concatenate(out), "key": np.tile(batch["key"].to_numpy(), len(paths))})
+
+    return run
+
+
+def children(threshold: float):
+    """Maps (node, key, sketch) to (node, key) of the node's children."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[int, np.ndarray] = {}
         for batch in batches:
             if not len(batch):
                 continue
             sketch = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, COORDINATES)
             keys = batch["key"].to_numpy()
-            groups = [(r, np.arange(len(batch))) for r in range(roots)] if roots else [(int(k), np.asarray(v)) for k, v in batch.groupby("node").indices.items()]
-            for parent, rows in groups:
-                if parent not in known:
-                    known[parent] = chosen(parent, threshold)
-                for c in known[parent]:
-                    seed = np.uint64((parent * int(MIX) + int(c) * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF)
-                    name = mixed(mixed(sketch[rows, c].astype(np.uint64)) + seed)
+            for parent, rows in batch.groupby("node").indices.items():
+                for c in chosen(int(parent), threshold):
+                    name = child_names(np.array([parent], np.int64).view(np.uint64), int(c), sketch[rows, c])
                     yield pd.DataFrame({"node": name.view(np.int64), "key": keys[rows]})
 
     return run
@@ -189,7 +216,8 @@ def compare_nodes(candidate: float):
                     x = small[rows]
                     link = np.empty((len(rows), n, n), bool)
                     for i in range(0, n, 64):
-                        link[:, i : i + 64] = (x[:, i : i + 64, None, :] == x[:, None, :, :]).sum(axis=3) >= candidate * COORDINATES
+                        same = np.add.reduce(x[:, i : i + 64, None, :] == x[:, None, :, :], axis=3, dtype=np.uint8)  # COORDINATES fit a byte
+                        link[:, i : i + 64] = same >= candidate * COORDINATES
                     label = least_labels(link)
                     moved = label != np.arange(n)[None, :]
                     if moved.any():
@@ -202,36 +230,56 @@ def candidate_edges(classes: DataFrame, threshold: float = THRESHOLD, runs: int
     """Star edges (a, b) over class keys that connect every candidate pair."""
     sketches = classes.select("key", "sketch")
     smalls = classes.select(F.col("key").alias("k"), "small")
-    nodes = materialize(sketches.mapInPandas(children(threshold, runs), "node long, key binary"), "nodes")
+    nodes = materialize(sketches.mapInPandas(first_nodes(threshold, runs), "node long, key binary"), "nodes")
     edges = None
-    for depth in range(1, DEPTH + 1):
-        sizes = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-        sized = materialize(nodes.join(sizes, "node").join(smalls, F.col("key") == F.col("k")).drop("k"), "sized")
-        leaf = sized.filter(F.col("n") <= LIMIT).repartition("node").sortWithinPartitions("node")
-        found = leaf.select("node", "key", "small").mapInPandas(compare_nodes(CANDIDATE), "a binary, b binary")
+    for depth in range(FIRST_DEPTH, DEPTH + 1):
+        sizes = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("node", "m")
+        sized = nodes.join(sizes, F.col("node") == F.col("m")).select("node", "key", "n")
+        sized = materialize(sized.join(smalls, F.col("key") == F.col("k")).drop("k"), "sized")
+        leaf = sized.filter(F.col("n") <= LIMIT).select("node", "key", "small").repartition("node").sortWithinPartitions("node", "key")
+        found = leaf.mapInPandas(compare_nodes(CANDIDATE), "a binary, b binary")
         large = sized.filter(F.col("n") > LIMIT)
         some = not large.isEmpty()
         if some:
             found = found.unionByName(led(large))
-        found = found.distinct()
-        edges = materialize(found if edges is None else edges.unionByName(found).distinct(), "candidates")
+        edges = materialize(found if edges is None else edges.unionByName(found), "candidates")
         if not some:
             return edges
-        roots = components(edges)
-        large = large.join(roots.withColumnRenamed("node", "k"), F.col("key") == F.col("k"), "left").withColumn("root", F.coalesce("root", "key")).drop("k")
-        split = large.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select(F.col("node").alias("m"))
-        large = materialize(large.join(split, F.col("node") == F.col("m")).select("node", "key", "small", "n"), "large")
+        roots = materialize(components(edges), "roots")
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a != b")
+        large = large.join(roots.withColumnRenamed("node", "k"), F.col("key") == F.col("k"), "left").withColumn("root", F.coalesce("root", "key"))
+        large = materialize(apart(large.select("node", "key", "small", "n", "root")), "large")
+        edges = materialize(edges.unionByName(strays_against_all(large.filter(F.col("strays") <= LIMIT // 2))), "candidates")
+        large = large.filter(F.col("strays") > LIMIT // 2)
         if large.isEmpty():
             return edges
         if depth < DEPTH:
             rows = large.select("node", F.col("key").alias("k")).join(sketches, F.col("k") == F.col("key")).select("node", "key", "sketch")
             nodes = materialize(rows.mapInPandas(children(threshold), "node long, key binary"), "nodes")
-    return materialize(edges.unionByName(in_blocks(large)).distinct(), "candidates")
+    return materialize(edges.unionByName(in_blocks(large)), "candidates")
+
+
+def apart(large: DataFrame) -> DataFrame:
+    """Rows of the nodes that hold more than one component, with ``stray`` (not of the node's largest component) and the number of ``strays``."""
+    sizes = large.groupBy("node", "root").agg(F.count("*").alias("size"))
+    bulk = sizes.groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("bulk"), (F.sum("size") - F.max("size")).alias("strays")).filter("strays > 0").withColumnRenamed("node", "m")
+    return large.join(bulk, F.col("node") == F.col("m")).select("node", "key", "small", "n", "strays", (F.col("root") != F.col("bulk")).alias("stray"))
+
+
+def strays_against_all(large: DataFrame) -> DataFrame:
+    """Star edges of nodes with few strays: all other pairs of the node are in one component, so each block of the rest is compared with all strays."""
+    half = LIMIT // 2
+    blocks = F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("strays")) / half)).cast("int")
+    dealt = large.withColumn("blocks", blocks)
+    own = F.array(F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("block", F.explode(F.when(F.col("stray"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)))
+    dealt = dealt.select(F.xxhash64("node", "block").alias("node"), "key", "small").repartition("node").sortWithinPartitions("node", "key")
+    return dealt.mapInPandas(compare_nodes(CANDIDATE), "a binary, b binary")
 
 
 def led(large: DataFrame) -> DataFrame:
-    """Edges to a node's leader (the least key by a hash of node and key) where the sketches agree; one row per class of the node."""
-    leader = large.groupBy("node").agg(F.min_by(F.struct("key", "small"), F.xxhash64("node", "key")).alias("leader")).select(F.col("node").alias("m"), F.col("leader.key").alias("b"), F.col("leader.small").alias("other"))
+    """Edges to a node's leader (its least key, so that the nodes of a group mostly agree on it) where the sketches agree; one row per class of the node."""
+    leader = large.groupBy("node").agg(F.min(F.struct("key", "small")).alias("leader")).select(F.col("node").alias("m"), F.col("leader.key").alias("b"), F.col("leader.small").alias("other"))
 
     def agree(rows: pd.Series, others: pd.Series) -> pd.Series:
         if not len(rows):
@@ -250,7 +298,7 @@ def in_blocks(large: DataFrame) -> DataFrame:
     dealt = large.withColumn("count", count).withColumn("own", F.pmod(F.xxhash64("key"), F.col("count")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
     pairs = pairs.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
-    return pairs.repartition("node").sortWithinPartitions("node").select("node", "key", "small").mapInPandas(compare_nodes(CANDIDATE), "a binary, b binary")
+    return pairs.select("node", "key", "small").repartition("node").sortWithinPartitions("node", "key").mapInPandas(compare_nodes(CANDIDATE), "a binary, b binary")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -279,7 +327,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def verify(threshold: float):
-    """Maps sorted rows (task, own, low, high, key, copies, text) to (key, links, linked, root): counts over the pairs of the task's two blocks."""
+    """Maps sorted rows (task, own, low, high, count, key, copies, text) to (key, links, linked, root, in_parts): counts over the pairs of the task's two blocks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(batches, "task"):
@@ -305,7 +353,7 @@ def verify(threshold: float):
                 full = link | np.eye(len(sets), dtype=bool)
                 label = least_labels(full[None])[0]
                 keys = rows["key"].to_numpy()
-                yield pd.DataFrame({"key": keys, "links": link.sum(axis=1), "linked": link @ rows["copies"].to_numpy(), "root": keys[label]})
+                yield pd.DataFrame({"key": keys, "links": link.sum(axis=1), "linked": link @ rows["copies"].to_numpy(), "root": keys[label], "in_parts": rows["count"].to_numpy() > 1})
 
     return run
 
@@ -326,13 +374,17 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> Dat
     sizes = members.groupBy("root").agg(F.count("*").alias("n")).withColumn("count", F.ceil(F.col("n") / BLOCK).cast("int")).select(F.col("root").alias("r"), "count")
     dealt = members.join(sizes, F.col("root") == F.col("r")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("count")).cast("int"))
     texts = docs.select(F.col("doc_id").alias("first_id"), "text")
+    texts = texts.filter(may_contain(members.select("first_id"), F.col("first_id")))
     dealt = dealt.join(texts, "first_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).withColumn("task", F.xxhash64("root", "low", "high"))
-    columns = ["task", "own", "low", "high", "key", "copies", "text"]
-    verified = dealt.select(*columns).repartition("task").sortWithinPartitions("task").mapInPandas(verify(threshold), "key binary, links long, linked long, root binary")
+    columns = ["task", "own", "low", "high", "count", "key", "copies", "text"]
+    verified = dealt.select(*columns).repartition("task").sortWithinPartitions("task", "key").mapInPandas(verify(threshold), "key binary, links long, linked long, root binary, in_parts boolean")
     verified = materialize(verified, "verified")
     counts = verified.groupBy("key").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked"))
-    final = components(verified.select(F.col("key").alias("a"), F.col("root").alias("b")))
+    # the star of a component that one task has seen whole is final
+    settled = verified.filter("NOT in_parts").select(F.col("key").alias("node"), "root")
+    merged = components(verified.filter("in_parts").select(F.col("key").alias("a"), F.col("root").alias("b")))
+    final = settled.unionByName(merged)
     roots = classes.select("key", "first_id", "copies").join(final, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key"))
     names = roots.groupBy("root").agg(F.min("first_id").alias("class_id")).withColumnRenamed("root", "r")
     named = roots.join(names, F.col("root") == F.col("r")).join(counts.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
