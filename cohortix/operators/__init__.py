@@ -1 +1 @@
-
+"""Relational operators over detections, tracks, vectors and groups."""

@@ -1 +1 @@
-
+"""Readers of files, saved runs and vector arrays."""
