@@ -39,7 +39,9 @@ FIXED_SHARE = 0.6
 SLOT_SHARE = 0.5
 SLOT_TEXT = 0.85
 #: Tokens that a task gathers before it passes them on.
-FLUSH = 200_000
+FLUSH = 50_000
+#: Pages whose texts a task holds at once.
+PAGES = 500
 #: Templates up to these many hosts and bytes are broadcast; more are joined by host.
 MOST_HOSTS = 5_000
 MOST_BYTES = 16 << 20
@@ -209,7 +211,8 @@ def occurrences(pages: DataFrame) -> DataFrame:
     kind = "host string, token long, path string, pages long, count long, vector long, mass long"
     rows = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("page"), "html").mapInPandas(run, kind)
     wrapped = F.sum(F.col("vector").cast("decimal(38,0)")) % F.lit(str(1 << 64)).cast("decimal(38,0)")
-    return rows.groupBy("host", "token").agg(F.max("path").alias("path"), F.sum("pages").alias("pages"), F.sum("count").alias("count"), wrapped.alias("vector"), F.sum("mass").alias("mass"))
+    # a token names its path, so the path is part of the key: sums alone can be combined in a hash map
+    return rows.groupBy("host", "token", "path").agg(F.sum("pages").alias("pages"), F.sum("count").alias("count"), wrapped.alias("vector"), F.sum("mass").alias("mass"))
 
 
 def equivalence_classes(found: DataFrame) -> DataFrame:
@@ -259,7 +262,7 @@ def extract(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b.iloc[low : low + PAGES] for b in batches for low in range(0, len(b), PAGES)):
             texts = [article(s, slot or "", set(np.asarray(fixed).tolist()) if fixed is not None else set()) for s, slot, fixed in zip(batch["html"], batch["slot"], batch["fixed"], strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"].values, "url": batch["url"].values, "text": texts, "n_chars": [len(t) for t in texts]})
 
