@@ -29,6 +29,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,9 +39,9 @@ HEAD = 7
 TAIL = 24
 CLASSES = 1 + HEAD + TAIL
 FEATURES = 1 << 13
-HOT_PART = 1 << 19
+HOT_PART = 1 << 21
 ROUNDS = 3
-BATCH = 2048
+BATCH = 4096
 RATE = 0.15
 FAN_IN = 16
 END = b""
@@ -63,63 +64,73 @@ def tail_class(word: bytes) -> int:
     return 1 + HEAD + crc32(word[-2:]) % TAIL
 
 
-class Classes(dict):
-    """word -> class; classes of other words than the heads are worked out once and kept while there is room."""
-
-    def __init__(self, heads: list[bytes]):
-        super().__init__({END: 0} | {w: i + 1 for i, w in enumerate(heads)})
+class Places(dict):
+    """word -> its place among the frequent words, -1 for others."""
 
     def __missing__(self, word: bytes) -> int:
-        found = tail_class(word)
-        if len(self) < FLUSH:
-            self[word] = found
-        return found
+        return -1
 
 
 class Model:
-    """Class of a word and hashed features of a history; heads: the most frequent words."""
-
-    def __init__(self, heads: list[bytes]):
-        self.known = Classes(heads)
-
-    def classes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def rows(self, texts: list) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """(tokens of each text, class of every token, features of every token as rows of the weights)."""
-        lists = [[*words_of(t), END] for t in texts]
-        counts = [len(x) for x in lists]
-        flat = [w for x in lists for w in x]
-        h = np.fromiter(map(crc32, flat), np.uint64, len(flat))
+    """Classes of words and hashed features of histories. frequent: the frequent words' counts; heads: the most frequent words, each its own class."""
+
+    def __init__(self, heads: list[bytes], frequent: dict[bytes, int]):
+        words = list(frequent)
+        own = {END: 0} | {w: i + 1 for i, w in enumerate(heads)}
+        self.place = Places(zip(words, range(len(words)), strict=True))
+        # the last entry stands for all other words
+        self.hashes = np.array([*map(crc32, words), 0], np.uint64)
+        self.kinds = np.array([*(own[w] if w in own else tail_class(w) for w in words), 0], np.int64)
+        self.logs = np.log10(np.array([*frequent.values(), 0], float) + 0.5)
+
+    def rows(self, texts: list) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
+        """(place of every token, tokens of each text, class of every token, features of every token as rows of the weights; the bias is row 0)."""
+        flat: list[bytes] = []
+        counts = []
+        for t in texts:
+            words = words_of(t)
+            flat += words
+            flat.append(END)
+            counts.append(len(words) + 1)
         n = len(flat)
-        position = np.arange(n) - np.repeat(np.cumsum([0, *counts[:-1]]), counts)
+        place = np.fromiter(map(self.place.__getitem__, flat), np.int64, n)
+        h, kinds = self.hashes[place], self.kinds[place]
+        others = np.flatnonzero(place < 0)
+        rare = [flat[i] for i in others.tolist()]
+        h[others] = np.fromiter(map(crc32, rare), np.uint64, len(rare))
+        kinds[others] = np.fromiter(map(tail_class, rare), np.int64, len(rare))
+        firsts = np.cumsum([0, *counts[:-1]])
+        one, two = np.empty(n, np.uint64), np.empty(n, np.uint64)
+        one[1:], two[2:] = h[: n - 1], h[: max(0, n - 2)]
+        one[firsts] = two[firsts] = BEFORE
+        two[np.minimum(firsts + 1, n - 1)[np.array(counts) > 1]] = BEFORE
+        return place, counts, kinds, np.stack([slot(one, 1), slot(two, 2), slot(one * np.uint64(0x100000001B3) + two, 3)])
 
-        def back(k: int) -> np.ndarray:
-            out = np.empty(n, np.uint64)
-            out[k:] = h[: n - k] if k < n else 0
-            out[: min(k, n)] = 0
-            out[position < k] = np.uint64(0xA5A5A5A5 + k)
-            return out
 
-        one, two = back(1), back(2)
-        mix = np.uint64(0x9E3779B97F4A7C15)
-        top = np.uint64(64 - FEATURES.bit_length() + 1)
+#: Stands for the words before the first.
+BEFORE = np.uint64(0xA5A5A5A5A5)
 
-        def slot(x: np.ndarray, kind: int) -> np.ndarray:
-            y = (x + np.uint64(kind << 33)) * mix
-            return ((y ^ (y >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> top).astype(np.int64)
 
-        index = np.stack([np.zeros(n, np.int64), slot(one, 1), slot(two, 2), slot(one * np.uint64(0x100000001B3) + two, 3)])
-        return counts, self.classes(flat), index
+def slot(x: np.ndarray, kind: int) -> np.ndarray:
+    y = (x + np.uint64(kind << 41)) * np.uint64(0x9E3779B97F4A7C15)
+    y ^= y >> np.uint64(29)
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    return 1 + (y % np.uint64(FEATURES - 1)).astype(np.int64)
 
 
-def log_softmax(weights: np.ndarray, index: np.ndarray) -> np.ndarray:
+def logits(weights: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits, their exponentials, the sums of these) of a batch."""
     z = weights[index[0]]
     for f in index[1:]:
         z += weights[f]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.einsum("ij->i", np.exp(z)))[:, None]
-    return z
+    z += weights[0]
+    e = np.exp(z)
+    total = e.sum(axis=1)
+    if not np.isfinite(total).all():
+        z -= z.max(axis=1, keepdims=True)
+        e = np.exp(z)
+        total = e.sum(axis=1)
+    return z, e, total
 
 
 def step(weights: np.ndarray, squares: np.ndarray, at, total: np.ndarray) -> None:
@@ -139,12 +150,13 @@ def train_share(model: Model, weights: np.ndarray, squares: np.ndarray, texts: I
     """Gradient steps with per-weight step sizes over batches of tokens; changes weights and squares. Gives the number of tokens."""
     seen = 0
     for part in texts:
-        _, target, index = model.rows(part)
+        _, _, target, index = model.rows(part)
         for low in range(0, len(target), BATCH):
             ix, t = index[:, low : low + BATCH], target[low : low + BATCH]
-            g = np.exp(log_softmax(weights, ix))
+            _, g, total = logits(weights, ix)
+            g *= (1 / total)[:, None]
             g[np.arange(len(t)), t] -= 1
-            for f in ix[1:]:
+            for f in ix:
                 order = np.argsort(f.astype(np.uint16), kind="stable")
                 sorted_f = f[order]
                 firsts = np.flatnonzero(np.r_[True, sorted_f[1:] != sorted_f[:-1]])
@@ -160,13 +172,13 @@ def text_parts(batch: pd.DataFrame, size: int = 64) -> Iterator[list]:
         yield texts[low : low + size]
 
 
-def train_round(spark, docs: DataFrame, heads: list[bytes], weights: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One round: every task trains on its share from the common weights; averages by tokens."""
-    shared = spark.sparkContext.broadcast((heads, weights, squares))
+def train_round(spark, docs: DataFrame, vocabulary, weights: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One round: every task trains on its share from the common weights; averages by tokens. vocabulary: a broadcast of the heads and the frequent words."""
+    shared = spark.sparkContext.broadcast((weights, squares))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heads, start, common = shared.value
-        model, w, s, seen = Model(heads), start.copy(), common.copy(), 0
+        start, common = shared.value
+        model, w, s, seen = Model(*vocabulary.value), start.copy(), common.copy(), 0
         for batch in batches:
             seen += train_share(model, w, s, text_parts(batch))
         if seen:
@@ -203,15 +215,16 @@ def train_round(spark, docs: DataFrame, heads: list[bytes], weights: np.ndarray,
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, tail, n): counts of all tokens, the end included; combined in each task before the shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
 
-        def flush() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(found), "tail": [tail_class(w) for w in found], "n": list(found.values())})
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for t in batch["text"]:
-                found.update(words_of(t))
+            for low in range(0, len(batch), 256):
+                for t in batch.column("text").slice(low, 256).to_pylist():
+                    found.update(words_of(t))
                 if len(found) > FLUSH:
                     yield flush()
                     found.clear()
@@ -219,8 +232,9 @@ def count_words(docs: DataFrame) -> DataFrame:
         if found:
             yield flush()
 
-    parts = docs.select("text").mapInPandas(run, "word binary, tail int, n long")
-    return parts.groupBy("word").agg(F.first("tail").alias("tail"), F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    ending = F.crc32(F.substring("word", -2, 2)) % F.lit(TAIL)
+    return counts.select("word", (F.lit(1 + HEAD) + ending).cast("int").alias("tail"), "n")
 
 
 class Trained:
@@ -253,9 +267,10 @@ def train(docs: DataFrame) -> Trained:
     weights = np.zeros((FEATURES, CLASSES), np.float32)
     squares = np.zeros((FEATURES, CLASSES), np.float32)
     weights[0] = np.log(totals[:, 0] + 0.5) - np.log(totals[:, 0].sum() + 0.5 * CLASSES)
+    vocabulary = spark.sparkContext.broadcast((heads, hot))
     share = F.pmod(F.xxhash64("text"), F.lit(ROUNDS))
     for r in range(ROUNDS):
-        weights, squares = train_round(spark, docs.filter(F.coalesce(share, F.lit(0)) == r), heads, weights, squares)
+        weights, squares = train_round(spark, docs.filter(F.coalesce(share, F.lit(0)) == r), vocabulary, weights, squares)
     return Trained(counts, hot, heads, n, v, totals, weights)
 
 
@@ -266,48 +281,48 @@ def score(docs: DataFrame, model: Trained) -> DataFrame:
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("text_key"))
     # p(word | class) of a word seen c times is (c + 0.5) / room[class]; a class without words gives all to an unseen one
     room = np.log10(model.totals[:, 0] + 0.5 * (model.totals[:, 1] + 1))
-    log_hot = {w: float(np.log10(c + 0.5)) for w, c in model.hot.items()}
-    shared = spark.sparkContext.broadcast((model.heads, model.weights, room, log_hot))
+    shared = spark.sparkContext.broadcast((model.heads, model.hot, model.weights, room))
     unseen = float(np.log10(0.5))
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heads, weights, room, log_hot = shared.value
-        m, scale = Model(heads), np.float64(np.log10(np.e))
+        heads, hot, weights, room = shared.value
+        m, scale = Model(heads, hot), np.log10(np.e)
         for batch in batches:
             low = 0
             for texts in text_parts(batch):
-                lists, context = [], []
-                counts, target, index = m.rows(texts)
-                for at in range(0, len(target), BATCH):
+                place, counts, target, index = m.rows(texts)
+                context = np.empty(len(place))
+                for at in range(0, len(place), BATCH):
                     t = target[at : at + BATCH]
-                    z = log_softmax(weights, index[:, at : at + BATCH])
-                    context.append(z[np.arange(len(t)), t] * scale - room[t])
-                context = np.add.reduceat(np.concatenate(context), np.cumsum([0, *counts[:-1]]))
-                for t in texts:
-                    found = [log_hot.get(w) for w in words_of(t)]
-                    found.append(log_hot.get(END))
-                    hits = [x for x in found if x is not None]
-                    lists.append((len(found), len(hits), sum(hits) + unseen * (len(found) - len(hits))))
+                    z, _, total = logits(weights, index[:, at : at + BATCH])
+                    context[at : at + BATCH] = (z[np.arange(len(t)), t] - np.log(total)) * scale - room[t]
+                logs, hits = m.logs[place], place >= 0  # log10(0.5) for the others so far
+                firsts = np.cumsum([0, *counts[:-1]])
                 part = batch.iloc[low : low + len(texts)]
                 low += len(texts)
-                yield pd.DataFrame({"doc_id": part["doc_id"].values, "text_key": part["text_key"].values, "n_tokens": [x[0] for x in lists], "n_hot": [x[1] for x in lists], "words": [x[2] for x in lists], "context": context})
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"].values, "text_key": part["text_key"].values, "n_tokens": counts, "n_hot": np.add.reduceat(hits.astype(np.int64), firsts),
+                    "words": np.add.reduceat(logs, firsts), "context": np.add.reduceat(context, firsts),
+                })
 
-    def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        log_hot = shared.value[3]
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value[1]
         for batch in batches:
-            low = 0
-            keys = batch["text_key"].to_numpy()
-            for texts in text_parts(batch, 512):
-                found: list[tuple] = []
-                for key, t in zip(keys[low : low + len(texts)], texts, strict=True):
-                    found += [(key, w, c) for w, c in Counter(words_of(t)).items() if w not in log_hot]
-                low += len(texts)
-                if found:
-                    k, w, c = zip(*found, strict=True)
-                    yield pd.DataFrame({"text_key": k, "word": w, "c": c})
+            texts, keys = batch.column("text").to_pylist(), batch.column("text_key").to_numpy()
+            for low in range(0, len(texts), 512):
+                words: list[bytes] = []
+                times: list[int] = []
+                each = []
+                for t in texts[low : low + 512]:
+                    found = Counter([w for w in words_of(t) if w not in hot])
+                    words += found.keys()
+                    times += found.values()
+                    each.append(len(found))
+                key = np.repeat(keys[low : low + 512], each)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(words, pa.binary()), pa.array(times, pa.int32())], ["text_key", "word", "c"])
 
     per_doc = keyed.mapInPandas(tokens, f"doc_id {kind}, text_key long, n_tokens long, n_hot long, words double, context double")
-    rare_rows = keyed.select("text_key", "text").mapInPandas(rare, "text_key long, word binary, c int")
+    rare_rows = keyed.select("text_key", "text").mapInArrow(rare, "text_key long, word binary, c int")
     seen = model.counts.filter(F.col("n") < F.lit(model.cut)).select(F.col("word").alias("w"), (F.log10(F.col("n") + 0.5) - F.lit(unseen)).alias("gain"))
     sums = rare_rows.join(seen, F.col("word") == F.col("w")).groupBy("text_key").agg(F.sum("c").alias("n_rare"), F.sum(F.col("c") * F.col("gain")).alias("rare_gain"))
     same = F.count("*").over(Window.partitionBy("text_key"))  # repeated rows have added their words that often
