@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import box_iou
+
 NEAR_FRAMES = 3
 NEAR_OVERLAP = 0.92
 
@@ -14,35 +15,27 @@ def best(candidates: DataFrame, limit: int = 16) -> DataFrame:
     """(track_id, frame_index, score, position): at most ``limit`` crops per track, in frame order.
 
     By score; crops close in time and place to a chosen one are passed over, and come back only to fill up to the limit.
-    candidates (track_id, frame_index, bbox struct, score). A greedy choice in an order: one track at a time.
+    candidates (track_id, frame_index, bbox struct, score). The greedy choice is a fold over a track's sorted candidates,
+    and only tracks with more candidates than the limit need it.
     """
-    flat = candidates.select("track_id", "frame_index", "score", "bbox.x1", "bbox.y1", "bbox.x2", "bbox.y2")
-    kind = flat.schema
-
-    def choose(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = frame.sort_values(["score", "frame_index"], ascending=[False, True], ignore_index=True)
-        at, score = rows["frame_index"].to_numpy(), rows["score"].to_numpy()
-        x1, y1, x2, y2 = (rows[c].to_numpy(float) for c in ("x1", "y1", "x2", "y2"))
-        chosen: list[int] = []
-        passed: list[int] = []
-        for i in range(len(rows)):
-            if len(chosen) >= limit:
-                break
-            (passed if any(abs(at[i] - at[j]) <= NEAR_FRAMES and overlap(i, j, x1, y1, x2, y2) >= NEAR_OVERLAP for j in chosen) else chosen).append(i)
-        chosen += passed[: limit - len(chosen)]
-        chosen.sort(key=lambda i: (at[i], i))
-        return pd.DataFrame({"track_id": rows["track_id"].iloc[0], "frame_index": at[chosen], "score": score[chosen], "position": range(1, len(chosen) + 1)})
-
-    out = f"track_id {kind['track_id'].dataType.simpleString()}, frame_index {kind['frame_index'].dataType.simpleString()}, score double, position int"
-    return flat.groupBy("track_id").applyInPandas(choose, out)
-
-
-def overlap(i: int, j: int, x1, y1, x2, y2) -> float:
-    wide = max(0.0, min(x2[i], x2[j]) - max(x1[i], x1[j]))
-    high = max(0.0, min(y2[i], y2[j]) - max(y1[i], y1[j]))
-    area = lambda k: max(0.0, x2[k] - x1[k]) * max(0.0, y2[k] - y1[k])
-    union = area(i) + area(j) - wide * high
-    return wide * high / union if union > 0 else 0.0
+    entry = F.struct((-F.col("score")).alias("rank"), "frame_index", F.struct(*[F.col("bbox")[s].alias(s) for s in ("x1", "y1", "x2", "y2")]).alias("box"), "score")
+    sorted_rows = candidates.groupBy("track_id").agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+
+    def near(x: Column, y: Column) -> Column:
+        return (F.abs(x["frame_index"] - y["frame_index"]) <= NEAR_FRAMES) & (box_iou(x["box"], y["box"]) >= NEAR_OVERLAP)
+
+    def step(acc: Column, x: Column) -> Column:
+        full = F.size(acc["chosen"]) >= limit
+        passed = F.struct(acc["chosen"].alias("chosen"), F.concat(acc["passed"], F.array(x)).alias("passed"))
+        taken = F.struct(F.concat(acc["chosen"], F.array(x)).alias("chosen"), acc["passed"].alias("passed"))
+        return F.when(full, acc).when(F.exists(acc["chosen"], lambda y: near(x, y)), passed).otherwise(taken)
+
+    none = F.slice("rows", 1, 0)
+    greedy = F.aggregate("rows", F.struct(none.alias("chosen"), none.alias("passed")), step, lambda acc: F.slice(F.concat(acc["chosen"], acc["passed"]), 1, limit))
+    chosen = F.when(F.size("rows") <= limit, F.col("rows")).otherwise(greedy)
+    in_order = F.array_sort(F.transform(chosen, lambda r: F.struct(r["frame_index"].alias("frame_index"), r["rank"].alias("rank"), r["score"].alias("score"))))
+    out = sorted_rows.select("track_id", F.posexplode(in_order).alias("position", "r"))
+    return out.select("track_id", "r.frame_index", "r.score", (F.col("position") + 1).alias("position"))
 
 
 def top(candidates: DataFrame, limit: int) -> DataFrame:

@@ -15,19 +15,15 @@ from ..functions import vectors as V
 BLOCK = 2048
 
 
-def pairs(vectors: DataFrame, least: float | None = None, group: str | None = None) -> DataFrame:
-    """(left_id, right_id, sim[, group]) of all pairs left_id < right_id, within the group if one is named, as one declarative join.
+def pairs(vectors: DataFrame, group: str, least: float | None = None) -> DataFrame:
+    """(group, left_id, right_id, sim) of the pairs left_id < right_id of each group, as one declarative join on the group.
 
-    vectors (id, embedding[, group]). Without a group this compares everything with everything; see ``blocked_pairs`` for large tables.
+    vectors (id, embedding, group). For pairs of a whole table see ``blocked_pairs``.
     """
-    keys = [group] if group else []
-    rows = vectors.select("id", V.unit(V.as_double(F.col("embedding"))).alias("v"), *keys)
-    a = rows.select(F.col("id").alias("left_id"), F.col("v").alias("_a"), *keys)
-    b = rows.select(F.col("id").alias("right_id"), F.col("v").alias("_b"), *[F.col(k).alias("_" + k) for k in keys])
-    on = F.col("left_id") < F.col("right_id")
-    for k in keys:
-        on = (F.col(k) == F.col("_" + k)) & on
-    out = a.join(b, on).select("left_id", "right_id", V.cosine(F.col("_a"), F.col("_b")).alias("sim"), *keys)
+    rows = vectors.select("id", V.unit(V.as_double(F.col("embedding"))).alias("v"), group)
+    a = rows.select(group, F.col("id").alias("left_id"), F.col("v").alias("_a"))
+    b = rows.select(group, F.col("id").alias("right_id"), F.col("v").alias("_b"))
+    out = a.join(b, group).filter("left_id < right_id").select(group, "left_id", "right_id", V.cosine(F.col("_a"), F.col("_b")).alias("sim"))
     return out.filter(F.col("sim") >= least) if least is not None else out
 
 

@@ -290,9 +290,9 @@ def strided_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Vectors and clusters
 
 
-@query(f"WITH {ALL_PAIRS} SELECT left_id, right_id, round(sim, 6) AS sim FROM pairs WHERE sim >= {SIMILAR}")
+@query(f"WITH {LABEL_PAIRS} SELECT label, left_id, right_id, round(sim, 6) AS sim FROM pairs WHERE sim >= 0.25")
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.pairs(D.vectors(spark, sf_dir), SIMILAR).withColumn("sim", r6("sim"))
+    return similarity.pairs(D.vectors(spark, sf_dir), "label", 0.25).withColumn("sim", r6("sim"))
 
 
 @query(f"WITH {ALL_PAIRS} SELECT left_id, right_id, round(sim, 6) AS sim FROM pairs WHERE sim >= {SIMILAR}")

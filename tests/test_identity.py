@@ -3,7 +3,6 @@
 import itertools
 
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -268,7 +267,9 @@ def test_blocked_pairs_equal_all_pairs(spark):
     rng = np.random.default_rng(1)
     v = rng.standard_normal((50, 6))
     df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)], "id long, embedding array<float>")
-    a = {(r[0], r[1]) for r in similarity.blocked_pairs(df, 0.3, block=16).collect()}
-    assert a == {(r[0], r[1]) for r in similarity.pairs(df, 0.3).collect()}
-    frame = pd.DataFrame(v)
-    assert len(frame) == 50
+    got = {(r[0], r[1]) for r in similarity.blocked_pairs(df, 0.3, block=16).collect()}
+    u = v.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    assert got == {(i, j) for i, j in itertools.combinations(range(50), 2) if u[i] @ u[j] >= 0.3}
+    grouped = df.withColumn("g", F.col("id") % 3)
+    assert {(r["left_id"], r["right_id"]) for r in similarity.pairs(grouped, "g", 0.3).collect()} == {(i, j) for i, j in got if i % 3 == j % 3}
