@@ -227,7 +227,9 @@ def equivalence_classes(found: DataFrame) -> DataFrame:
 def valid_tokens(found: DataFrame) -> DataFrame:
     """Tokens on at least SLOT_SHARE of their host's pages (a host of a page of n tokens has n / SLOT_SHARE of them at most), with ``all_pages`` and ``all_mass``."""
     whole = found.filter(F.col("path") == "").select(F.col("host").alias("_h"), F.col("pages").alias("all_pages"), F.col("mass").alias("all_mass"))
-    return found.join(whole, F.col("host") == F.col("_h")).drop("_h").filter(F.col("pages") >= F.lit(SLOT_SHARE) * F.col("all_pages"))
+    # while the hosts are few, a broadcast spares the shuffle of all tokens of a large host to one task
+    side = F.broadcast(whole) if whole.count() <= MOST_HOSTS else whole
+    return found.join(side, F.col("host") == F.col("_h")).drop("_h").filter(F.col("pages") >= F.lit(SLOT_SHARE) * F.col("all_pages"))
 
 
 def templates(found: DataFrame) -> DataFrame:
