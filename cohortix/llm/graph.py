@@ -1,4 +1,4 @@
-"""Connected components of an undirected graph, in rounds of distributed minimum stars."""
+"""Connected components of an undirected graph, in rounds of distributed least stars."""
 
 from __future__ import annotations
 
@@ -13,28 +13,54 @@ from .common import materialize
 MOST_ROUNDS = 100
 #: Edges that a task contracts at once.
 CONTRACT = 500_000
+#: Edges (after the first contraction) that one task may finish; a few megabytes.
+IN_ONE_TASK = 50_000
+#: Moves of centres that may be broadcast.
+MOST_BROADCAST = 100_000
+SALTS = 16
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """(a, b) edges -> (node, root): every node that has an edge, with the least node of its component.
 
-    First each task replaces the edges it holds by least stars of their components, without a shuffle. Then rounds of
-    large and small stars replace a node's edges by edges to the least node of its neighbourhood, so long chains shrink
-    geometrically. A node's neighbours are never gathered in a row: the minimum is a combining aggregate and the star is a
-    join, whose skewed keys adaptive execution splits. Each round is written to the shared folder; the rounds end when the
-    edges are stars with disjoint centres. Nulls and loops are left out; the types of a and b may be any orderable type.
+    First each task replaces the edges it holds by least stars of their components, without a shuffle; up to in_one_task
+    edges, a single task then does the rest. Otherwise rounds follow: a node with several smaller neighbours links them
+    to the least one and keeps only that, and a star whose centre has a smaller neighbour moves there, so long chains
+    shrink geometrically. A node's neighbours are never gathered in a row, and the edges of a large star are never dealt
+    by their centre alone. Each round is written to the shared folder; the rounds end when the edges are stars with
+    disjoint centres. Nulls and loops are left out; the types of a and b may be any orderable type.
     """
     pairs = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     kind = pairs.schema["u"].dataType.simpleString()
     current = materialize(pairs.mapInPandas(contract, f"u {kind}, v {kind}").distinct(), "stars")
-    for _ in range(MOST_ROUNDS):
-        if is_forest(current):
-            break
-        current = materialize(small_star(large_star(current)), "stars")
+    if current.count() <= in_one_task:
+        current = materialize(current.coalesce(1).mapInPandas(contract, f"u {kind}, v {kind}"), "stars")
+    else:
+        for _ in range(MOST_ROUNDS):
+            if is_forest(current):
+                break
+            current = materialize(shortened(current), "stars")
     roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def shortened(stars: DataFrame) -> DataFrame:
+    """One round: least smaller neighbours, then a step of every centre to its own."""
+    least = stars.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most"))
+    several = least.filter("m <> most").select(F.col("u").alias("w"), "m")
+    others = stars.join(several, F.col("u") == F.col("w")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    single = materialize(least.select("u", F.col("m").alias("v")).unionByName(others).distinct(), "stars")
+    down = single.groupBy("u").agg(F.min("v").alias("to")).withColumnRenamed("u", "c")
+    moves = materialize(down.join(single.select(F.col("v").alias("c")).distinct(), "c", "left_semi"), "moves")
+    if moves.count() <= MOST_BROADCAST:
+        moved = single.join(F.broadcast(moves), F.col("v") == F.col("c"), "left")
+    else:  # a large star's edges are dealt to SALTS tasks
+        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt2")
+        salted = single.withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(SALTS)))
+        moved = salted.join(moves.select("c", "to", salts), (F.col("v") == F.col("c")) & (F.col("salt") == F.col("salt2")), "left")
+    return moved.select("u", F.coalesce("to", "v").alias("v")).distinct()
+
+
 def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges (u, v) -> star edges (node, least node of its component among the edges seen together)."""
     parent: dict = {}
@@ -60,9 +86,9 @@ def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 parent[b] = a
             elif b < a:
                 parent[a] = b
-        if len(parent) > CONTRACT:
-            yield flush()
-            parent.clear()
+            if len(parent) > CONTRACT:
+                yield flush()
+                parent.clear()
     if parent:
         yield flush()
 
@@ -72,15 +98,3 @@ def is_forest(stars: DataFrame) -> bool:
     ends = stars.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(stars.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
     sums = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
     return sums.filter("down > 1 OR down + up > 1").isEmpty()
-
-
-def large_star(stars: DataFrame) -> DataFrame:
-    both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("w"), F.least("u", "low").alias("m"))
-    return both.filter("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-
-
-def small_star(stars: DataFrame) -> DataFrame:
-    least = stars.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
-    moved = stars.join(least, F.col("u") == F.col("w")).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

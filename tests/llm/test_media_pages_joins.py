@@ -172,8 +172,9 @@ def test_components(spark):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     df = spark.createDataFrame([(b, a) for a, b in edges], "a long, b long")
-    got = {r["node"]: r["root"] for r in graph.components(df).collect()}
-    assert got == {n: r for n, r in root.items() if any(n in e and e[0] != e[1] for e in edges)}
+    for most in (0, 10_000):  # in rounds, and in one task
+        got = {r["node"]: r["root"] for r in graph.components(df.repartition(5), most).collect()}
+        assert got == {n: r for n, r in root.items() if any(n in e and e[0] != e[1] for e in edges)}
 
 
 def test_pipeline_stages(spark, make_docs, tmp_path):
