@@ -44,6 +44,15 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)
 
 
+def id_as_text(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The id as text, for the way through pandas, which would turn numbers beside nulls into floats."""
+    return df.withColumn(name, F.col(name).cast("string"))
+
+
+def id_restored(df: DataFrame, like: DataFrame, name: str = "doc_id") -> DataFrame:
+    return df.withColumn(name, F.col(name).cast(like.schema[name].dataType))
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

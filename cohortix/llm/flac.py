@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_as_text, id_restored
+
 BLOCK = 192
 PAD = b" "
 RATE = 8000
@@ -277,7 +279,6 @@ def chunks(sizes: list[int]) -> Iterator[slice]:
 
 def to_media(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): the text of each document as a FLAC stream."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -286,7 +287,7 @@ def to_media(docs: DataFrame) -> DataFrame:
                 pairs = [payload_of(t) for t in batch["text"].iloc[part]]
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].values, "n_bytes": [n for n, _ in pairs], "media": encode_streams([p for _, p in pairs])})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_bytes long, media binary")
+    return id_restored(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, n_bytes long, media binary"), docs)
 
 
 def features(payload: bytes) -> str:
@@ -298,7 +299,6 @@ def features(payload: bytes) -> str:
 
 def read_media(media: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature) from the stored streams."""
-    kind = media.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -312,12 +312,12 @@ def read_media(media: DataFrame) -> DataFrame:
                     "media_bytes": [len(s) for s in streams], "media_sha256": [hashlib.sha256(s).hexdigest() for s in streams], "feature": [features(p) for p in payloads],
                 })
 
-    return media.mapInPandas(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    kind = "doc_id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    return id_restored(id_as_text(media.select("doc_id", "n_bytes", "media")).mapInPandas(run, kind), media)
 
 
 def pcm_blocks(media: DataFrame, frames: int = 64) -> DataFrame:
     """(doc_id, block, sample_offset, n_samples, pcm): the decoded samples in blocks of so many frames, each with its offset."""
-    kind = media.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -328,7 +328,7 @@ def pcm_blocks(media: DataFrame, frames: int = 64) -> DataFrame:
                     cut = [payload[o : o + frames * BLOCK] for o in offsets]
                     yield pd.DataFrame({"doc_id": [doc_id] * len(cut), "block": range(len(cut)), "sample_offset": offsets, "n_samples": [len(c) for c in cut], "pcm": cut})
 
-    return media.select("doc_id", "media").mapInPandas(run, f"doc_id {kind}, block int, sample_offset long, n_samples int, pcm binary")
+    return id_restored(id_as_text(media.select("doc_id", "media")).mapInPandas(run, "doc_id string, block int, sample_offset long, n_samples int, pcm binary"), media)
 
 
 def media_sizes(media: DataFrame) -> DataFrame:

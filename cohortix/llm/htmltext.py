@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import id_as_text, id_restored, materialize
 
 #: A text block is fixed text if that many pages of its host, and that share of them, have it at the same path.
 LEAST_PAGES = 5
@@ -261,11 +261,10 @@ def extract(pages: DataFrame) -> DataFrame:
     models = models.withColumnRenamed("host", "h")
     side = F.broadcast(models) if small else models
     joined = pages.withColumn("host", host_of(F.col("url"))).join(side, F.col("host") == F.col("h"), "left").select("page_id", "url", "html", "slot", "fixed")
-    kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (b.iloc[low : low + PAGES] for b in batches for low in range(0, len(b), PAGES)):
             texts = [article(s, slot or "", set(np.asarray(fixed).tolist()) if fixed is not None else set()) for s, slot, fixed in zip(batch["html"], batch["slot"], batch["fixed"], strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"].values, "url": batch["url"].values, "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return joined.mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    return id_restored(id_as_text(joined, "page_id").mapInPandas(run, "page_id string, url string, text string, n_chars long"), pages, "page_id")

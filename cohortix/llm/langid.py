@@ -8,8 +8,8 @@ least hash of their id); features are taken from whole texts, and every
 whole text is predicted.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and so is
-everything if no row has a language; a family with one language needs no vote; repeated
-rows get equal results; an empty table gives no rows; other columns are ignored.
+everything if no row has a language; a family with one language needs no vote; rows with a null id are not
+learned from; repeated rows get equal results; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_remainder, materialize
+from .common import id_as_text, id_remainder, id_restored, materialize
 
 SIZE = 1 << 14
 MOST_SAMPLE = 6000
@@ -185,7 +185,6 @@ def train(docs: DataFrame) -> Hierarchy:
 
 def predict(docs: DataFrame, model: Hierarchy) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,7 +193,7 @@ def predict(docs: DataFrame, model: Hierarchy) -> DataFrame:
             found = [machines.predict(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].values, "lang_pred": [x for x, _ in found], "score": [float(s) for _, s in found]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, lang_pred string, score double")
+    return id_restored(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, lang_pred string, score double"), docs)
 
 
 def identify(docs: DataFrame) -> DataFrame:

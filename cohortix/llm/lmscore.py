@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_remainder, materialize
+from .common import id_remainder, id_restored, materialize
 
 HEAD = 7
 TAIL = 24
@@ -277,8 +277,7 @@ def train(docs: DataFrame) -> Trained:
 def score(docs: DataFrame, model: Trained) -> DataFrame:
     """(doc_id, text_key, n_tokens, n_known, base_score, score) of whole texts."""
     spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("text_key"))
+    keyed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("text_key"))
     # p(word | class) of a word seen c times is (c + 0.5) / room[class]; a class without words gives all to an unseen one
     room = np.log10(model.totals[:, 0] + 0.5 * (model.totals[:, 1] + 1))
     shared = spark.sparkContext.broadcast((model.heads, model.hot, model.weights, room))
@@ -321,7 +320,7 @@ def score(docs: DataFrame, model: Trained) -> DataFrame:
                 key = np.repeat(keys[low : low + 512], each)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(words, pa.binary()), pa.array(times, pa.int32())], ["text_key", "word", "c"])
 
-    per_doc = keyed.mapInPandas(tokens, f"doc_id {kind}, text_key long, n_tokens long, n_hot long, words double, context double")
+    per_doc = keyed.mapInPandas(tokens, "doc_id string, text_key long, n_tokens long, n_hot long, words double, context double")
     rare_rows = keyed.select("text_key", "text").mapInArrow(rare, "text_key long, word binary, c int")
     seen = model.counts.filter(F.col("n") < F.lit(model.cut)).select(F.col("word").alias("w"), (F.log10(F.col("n") + 0.5) - F.lit(unseen)).alias("gain"))
     sums = rare_rows.join(seen, F.col("word") == F.col("w")).groupBy("text_key").agg(F.sum("c").alias("n_rare"), F.sum(F.col("c") * F.col("gain")).alias("rare_gain"))
@@ -330,6 +329,7 @@ def score(docs: DataFrame, model: Trained) -> DataFrame:
     words = F.col("words") + F.coalesce(F.col("rare_gain") / F.col("same"), F.lit(0.0))
     known = F.col("n_hot") + F.coalesce(F.col("n_rare") / F.col("same"), F.lit(0.0)).cast("long")
     base = words - F.col("n_tokens") * F.lit(float(np.log10(model.n + 0.5 * (model.v + 1))))
+    out = id_restored(out, docs)
     return out.select("doc_id", "text_key", "n_tokens", known.alias("n_known"), base.alias("base_score"), (words + F.col("context")).alias("score"))
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, may_contain
+from .common import id_as_text, id_restored, materialize, may_contain
 from .graph import components
 
 N = 5
@@ -95,7 +95,6 @@ def set_key(s: np.ndarray) -> bytes:
 
 def profile(docs: DataFrame) -> DataFrame:
     """(doc_id, key, sketch): key names the shingle set (null if empty), sketch holds its minimum hashes."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = multipliers(COORDINATES)
@@ -108,7 +107,7 @@ def profile(docs: DataFrame) -> DataFrame:
                     "sketch": [minimum_hashes(s, a, b).tobytes() if len(s) else None for s in sets],
                 })
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, key binary, sketch binary")
+    return id_restored(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, key binary, sketch binary"), docs)
 
 
 def chosen(node: int, threshold: float, step: int = 0) -> np.ndarray:
@@ -362,8 +361,10 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> Dat
     """(doc_id, class_id, n_links, n_text_links): the class of each document and how many others it links to.
 
     class_id: the least doc_id of the connected component; n_links counts documents with a similarity of threshold or
-    more, copies included; n_text_links counts different shingle sets.
+    more, copies included; n_text_links counts different shingle sets. A row without an id has no class and no links.
     """
+    nameless = docs.filter("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"))
+    docs = docs.filter("doc_id IS NOT NULL")
     profiles = materialize(profile(docs), "profiles")
     classes = profiles.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
     low_bytes = F.pandas_udf(lambda s: s.map(lambda x: np.frombuffer(x, np.uint32).astype(np.uint8).tobytes()), "binary")
@@ -390,11 +391,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> Dat
     named = roots.join(names, F.col("root") == F.col("r")).join(counts.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
     named = named.select(F.col("key").alias("k"), "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"))
     out = profiles.select("doc_id", "key").join(named, F.col("key") == F.col("k"), "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"))
+    out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"))
+    return out.unionByName(nameless)
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose id names their class, one row each, with the columns of the input."""
-    kept = join(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return found.dropDuplicates(["doc_id"])
+    """The documents whose id names their class, one row each, with the columns of the input; rows without an id stay."""
+    kept = join(docs, threshold).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
+    found = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    return found.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))

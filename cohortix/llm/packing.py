@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import id_as_text, id_restored, materialize
 
 CAPACITY = 1024
 END_ID = 2
@@ -42,8 +42,8 @@ POPULATION = 4
 #: Bins with more free tokens than this are broken up after the first round.
 SLACK = 8
 
-CARRIED = "doc_id long, piece int, start long, length int, ids_crc32 long"
-BLOCKS = "block long, doc_id array<long>, piece array<int>, start array<long>, length array<int>, ids_crc32 array<long>"
+CARRIED = "doc_id string, piece int, start long, length int, ids_crc32 long"
+BLOCKS = "block long, doc_id array<string>, piece array<int>, start array<long>, length array<int>, ids_crc32 array<long>"
 
 
 def encoder(name: str = TOKENIZER):
@@ -186,7 +186,7 @@ def tokenize_blocks(capacity: int, end_id: int, tokenizer: str, block: int):
                 ids = np.array(encode_text(text or "") + [end_id], "<u4")
                 start = 0
                 for piece, length in enumerate(cut(len(ids), capacity)):
-                    rows.append((int(doc_id), piece, start, length, zlib.crc32(ids[start : start + length].tobytes())))
+                    rows.append((doc_id, piece, start, length, zlib.crc32(ids[start : start + length].tobytes())))
                     start += length
                     small += length < capacity
                     if small >= block or len(rows) >= 8 * block:
@@ -228,7 +228,7 @@ def islands_evolve(blocks: DataFrame, capacity: int, islands: int, epochs: int,
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, block: int = BLOCK) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): every piece's place in sequences of at most capacity tokens."""
-    kind = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(tokenize_blocks(capacity, end_id, tokenizer, block), BLOCKS)
+    kind = id_as_text(docs.select("doc_id", "text")).mapInPandas(tokenize_blocks(capacity, end_id, tokenizer, block), BLOCKS)
     blocks = materialize(kind, "pack-blocks")
     first = place(blocks, capacity)
     first = materialize(first, "pack-first")
@@ -243,7 +243,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokeni
     gathered = gathered.select("block", *[F.col(f"rows.{c}").alias(c) for c in fields])
     second = place(materialize(gathered, "pack-again"), capacity)
     columns = ["doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", F.col("offset").cast("long").alias("offset")]
-    return kept.select(*columns).unionByName(second.select(*columns))
+    return id_restored(kept.select(*columns).unionByName(second.select(*columns)), docs)
 
 
 def place(blocks: DataFrame, capacity: int) -> DataFrame:

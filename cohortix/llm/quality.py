@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAKS
+from .common import WORD_BREAKS, id_as_text, id_restored
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -108,9 +108,8 @@ def failure_bits() -> Column:
 
 def ledger(docs: DataFrame) -> DataFrame:
     """(doc_id, measurements, failures): one row per document; each rule is evaluated once."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    measured = docs.select("doc_id", "text").mapInPandas(measurements, f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
-    return measured.withColumn("failures", failure_bits())
+    measured = id_as_text(docs.select("doc_id", "text")).mapInPandas(measurements, "doc_id string, " + ", ".join(f"{m} long" for m in MEASURES))
+    return id_restored(measured, docs).withColumn("failures", failure_bits())
 
 
 def apply_policy(book: DataFrame, policy: str) -> DataFrame:

@@ -11,7 +11,7 @@ labelled training rows.  Every whole text is scored with the fitted words' weigh
 
 Edge cases: null, empty or wordless texts get the score of the intercept;
 without confirmed positives every score is 0; documents with a null id are
-training rows; repeated rows get equal scores; a document with several labels is a positive
+no training rows; repeated rows get equal scores; a document with several labels is a positive
 if any of them says so; an empty table gives no rows; other columns are ignored.
 """
 
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, materialize
+from .common import id_as_text, id_remainder, id_restored, materialize
 
 MOST_POSITIVES = 3000
 MOST_UNLABELLED = 9000
@@ -101,7 +101,7 @@ def fit(index: np.ndarray, row: np.ndarray, positive: np.ndarray, n_words: int,
 
 def least_by_hash(ids: DataFrame, most: int) -> DataFrame:
     """At most ``most`` distinct ids, those with the least hash: a top-k, so each task keeps that many rows."""
-    return ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return ids.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
@@ -146,7 +146,6 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
 
 def score(docs: DataFrame, weights: dict[str, float], intercept: float) -> DataFrame:
     """(doc_id, score) of every whole text."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = weights.keys()
@@ -154,7 +153,7 @@ def score(docs: DataFrame, weights: dict[str, float], intercept: float) -> DataF
             z = np.array([intercept + sum(weights[w] for w in features(t) & known) for t in batch["text"]], dtype=float)
             yield pd.DataFrame({"doc_id": batch["doc_id"].values, "score": 1 / (1 + np.exp(-np.clip(z, -700, 700)))})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double")
+    return id_restored(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, score double"), docs)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

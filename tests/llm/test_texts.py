@@ -236,3 +236,18 @@ def test_held_out_rule(spark):
 @pytest.mark.parametrize("policy", list(quality.POLICIES))
 def test_policies_name_rules(policy):
     assert set(quality.POLICIES[policy]) <= set(quality.RULES)
+
+
+def test_rows_without_an_id(spark, make_docs):
+    """Null ids come through every operator, and beside them large ids keep all their digits."""
+    from cohortix.llm import flac, ngramjoin, packing
+
+    large = 2**53 + 1
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(large, text, "en", "s", 5), (None, text, None, None, None), (None, None, "fr", "t", 1), (7, text + " more", "fr", "s", 2)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(7, 1), (None, 0), (large, None)], "doc_id long, toxic int")
+    outputs = [quality.ledger(docs), pii.detect(docs), mixing.plan(docs), lmscore.score_documents(docs), toxicity.classify(docs, labels), langid.identify(docs), flac.read_media(flac.to_media(docs)), ngramjoin.join(docs), packing.pack(docs)]
+    for out in outputs:
+        assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(["None", "None", str(large), "7"])
+    assert sorted(str(r["doc_id"]) for r in ngramjoin.one_of_each(docs).collect()) == ["7", "None", "None"]  # 8 of 9 shingles are shared
+    assert quality.filter_documents(docs).count() == 3 and pii.redact(docs).count() == 4 and mixing.mix_documents(docs).count() >= 3
