@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .similarity import dense_rows
+
 
 def overlaps(labels: DataFrame, previous: DataFrame) -> DataFrame:
     """(label, person_id, shared, least): how many members a new cluster shares with a previous identity; labels (track_id, label), previous (person_id, track_id)."""
@@ -44,7 +46,7 @@ def reconcile(labels: DataFrame, previous: DataFrame, next_number: int = 1) -> D
     kept = rows.groupBy("component").applyInPandas(assign, f"label {kind}, person_id string")
     least = labels.groupBy("label").agg(F.min("track_id").alias("least"))
     fresh = least.join(kept, "label", "left_anti")
-    named = fresh.select("label", F.format_string("P%04d", F.row_number().over(Window.orderBy("least")) + (first - 1)).alias("person_id"))
+    named = dense_rows(fresh, "least").select("label", F.format_string("P%04d", F.col("row") + first).alias("person_id"))
     return kept.unionByName(named)
 
 

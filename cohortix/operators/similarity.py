@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..plans.store import materialize
 
 #: Vectors in a block of the blocked self-join.
 BLOCK = 2048
@@ -94,11 +95,14 @@ def similarity_csv(similar: DataFrame, ids: list) -> DataFrame:
 
 
 def dense_rows(active: DataFrame, order: str) -> DataFrame:
-    """Adds ``row``: 0, 1, 2... in an order, by prefix sums over hash-free ranges, so no task sorts all rows."""
-    spread = active.repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
-    inner = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1)
-    sizes = inner.groupBy("_part").agg(F.count("*").alias("_size"), F.min(order).alias("_first"))
-    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_size")).select("_part", "_before")
+    """Adds ``row``: 0, 1, 2... in an order, from row numbers within ranges and the sizes of the ranges before, so no task sorts all rows.
+
+    The ranges are written first: sampled again, their bounds could differ.
+    """
+    spread = active.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
+    inner = materialize(spread.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1), "ranges")
+    sizes = inner.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).select("_part", "_before")
     return inner.join(F.broadcast(before), "_part").withColumn("row", (F.col("_before") + F.col("_n")).cast("long")).drop("_part", "_n", "_before")
 
 
