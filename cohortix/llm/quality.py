@@ -29,7 +29,7 @@ RULES: dict[str, tuple[int, str]] = {
     "few_words": (0, "n_words < 10"),
     "repeated_windows": (1, "100 * n_repeat_words > 20 * n_words"),
     "symbols": (2, "10 * n_symbols > 3 * n_words AND n_words > 0"),
-    "repeated_lines": (3, "10 * n_dup_lines > 3 * n_lines AND n_lines > 0"),
+    "repeated_lines": (3, "2 * n_dup_lines > n_lines"),
     "upper_case": (4, "2 * n_upper > n_letters AND n_letters >= 30"),
     "word_length": (5, "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words)"),
     "few_letters": (6, "2 * n_letters < word_chars AND word_chars > 0"),
