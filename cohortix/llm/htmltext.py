@@ -61,6 +61,11 @@ NOT_ARTICLE = frozenset(
     "login register search share sharing social comment comments commentlist reply replies respond discussion disqus related recommended recommendations pagination pager toolbar copyright legal disclaimer".split()
 )
 
+#: Words that make a name describe the whole page ("has-sidebar", "page-wrapper").
+OF_PAGE = frozenset("has with no without layout wrapper container page".split())
+#: Of an article or main element, only these names count.
+NEVER_ARTICLE = frozenset("comment comments commentlist reply replies ad ads advert adverts promo sponsored related recommended teaser".split())
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -145,7 +150,8 @@ def parse(source: str) -> list[tuple[tuple, bool, str]]:
                 else:
                     words = [w.lower() for w in NAME_WORD.findall(value)]
                     names += "." + "-".join(words)
-                    excluded = excluded or not NOT_ARTICLE.isdisjoint(words)
+                    bad = NEVER_ARTICLE if tag in ("article", "main") else NOT_ARTICLE
+                    excluded = excluded or not (bad.isdisjoint(words) or (OF_PAGE & set(words) and tag not in ("nav", "aside")))
         if tag in ASIDE:
             excluded = True
         elif tag == "header" and not any(t in ("article", "main") for t, _, _ in stack):

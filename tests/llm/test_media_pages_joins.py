@@ -67,6 +67,8 @@ def test_article_of_a_page():
     body = "<p>One &amp; two\n  <b>bold</b>i</p><ul><li>a<li>b</ul><p>x &lt; y<br>z<p>last &#233;"
     blocks = [text for _, excluded, text in htmltext.parse(PAGE.format(n=1, body=body)) if not excluded]
     assert blocks == ["Title 1", "One & two boldi", "a", "b", "x < y z", "last é"]
+    wrapped = '<body class="no-header"><div class="page-wrapper has-sidebar"><main class="with-comments"><p>in</p></main><div class="sidebar"><p>out</p></div><article class="comment"><p>out</p></article></div>'
+    assert [t for _, x, t in htmltext.parse(wrapped) if not x] == ["in"]
     assert htmltext.parse("a < b <!-- open") == [((), False, "a < b")]
     assert [t for _, x, t in htmltext.parse('<div title="a>b">c</div><p class=ad>d</p>e') if not x] == ["c", "e"]
 
