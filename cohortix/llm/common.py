@@ -32,7 +32,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cohortix/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cx_path = path
+    return out
+
+
+def discard(written: DataFrame) -> None:
+    """Deletes a table that materialize has written, once nothing reads it any more."""
+    jvm = written.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(written._cx_path)
+    path.getFileSystem(written.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

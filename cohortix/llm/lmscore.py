@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_remainder, id_restored, materialize
+from .common import discard, id_remainder, id_restored, materialize
 
 HEAD = 7
 TAIL = 24
@@ -41,7 +41,7 @@ CLASSES = 1 + HEAD + TAIL
 FEATURES = 1 << 13
 HOT_PART = 1 << 21
 ROUNDS = 3
-BATCH = 4096
+BATCH = 8192
 RATE = 0.15
 FAN_IN = 16
 END = b""
@@ -83,8 +83,8 @@ class Model:
         self.kinds = np.array([*(own[w] if w in own else tail_class(w) for w in words), 0], np.int64)
         self.logs = np.log10(np.array([*frequent.values(), 0], float) + 0.5)
 
-    def rows(self, texts: list) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
-        """(place of every token, tokens of each text, class of every token, features of every token as rows of the weights; the bias is row 0)."""
+    def rows(self, texts: list) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """(place of every token, tokens of each text, class of every token, features of every token as rows of the weights, positions of the rare words, these words); the bias is row 0."""
         flat: list[bytes] = []
         counts = []
         for t in texts:
@@ -104,7 +104,7 @@ class Model:
         one[1:], two[2:] = h[: n - 1], h[: max(0, n - 2)]
         one[firsts] = two[firsts] = BEFORE
         two[np.minimum(firsts + 1, n - 1)[np.array(counts) > 1]] = BEFORE
-        return place, counts, kinds, np.stack([slot(one, 1), slot(two, 2), slot(one * np.uint64(0x100000001B3) + two, 3)])
+        return place, counts, kinds, np.stack([slot(one, 1), slot(two, 2), slot(one * np.uint64(0x100000001B3) + two, 3)]), others, rare
 
 
 #: Stands for the words before the first.
@@ -150,7 +150,7 @@ def train_share(model: Model, weights: np.ndarray, squares: np.ndarray, texts: I
     """Gradient steps with per-weight step sizes over batches of tokens; changes weights and squares. Gives the number of tokens."""
     seen = 0
     for part in texts:
-        _, _, target, index = model.rows(part)
+        _, _, target, index, _, _ = model.rows(part)
         for low in range(0, len(target), BATCH):
             ix, t = index[:, low : low + BATCH], target[low : low + BATCH]
             _, g, total = logits(weights, ix)
@@ -195,7 +195,7 @@ def train_round(spark, docs: DataFrame, vocabulary, weights: np.ndarray, squares
             yield pd.DataFrame({"tokens": [tokens], "w": [w.astype(np.float32).tobytes()], "s": [s.astype(np.float32).tobytes()]})
 
     kind = "tokens long, w binary, s binary"
-    parts = materialize(docs.select("text").mapInPandas(run, kind), "lm-round")
+    written = parts = materialize(docs.select("text").mapInPandas(run, kind), "lm-round")
     n = parts.count()
     while n > FAN_IN:
         n = -(-n // FAN_IN)
@@ -206,6 +206,7 @@ def train_round(spark, docs: DataFrame, vocabulary, weights: np.ndarray, squares
         dw += np.frombuffer(row["w"], np.float32)
         ds += np.frombuffer(row["s"], np.float32)
     shared.unpersist()
+    discard(written)
     if tokens:
         weights = weights + (dw / tokens).reshape(weights.shape).astype(np.float32)
         squares = squares + (ds / tokens).reshape(weights.shape).astype(np.float32)
@@ -283,45 +284,31 @@ def score(docs: DataFrame, model: Trained) -> DataFrame:
     shared = spark.sparkContext.broadcast((model.heads, model.hot, model.weights, room))
     unseen = float(np.log10(0.5))
 
-    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads, hot, weights, room = shared.value
         m, scale = Model(heads, hot), np.log10(np.e)
         for batch in batches:
-            low = 0
-            for texts in text_parts(batch):
-                place, counts, target, index = m.rows(texts)
+            for low in range(0, len(batch), 64):
+                part = batch.slice(low, 64)
+                place, counts, target, index, others, rare = m.rows(part.column("text").to_pylist())
                 context = np.empty(len(place))
                 for at in range(0, len(place), BATCH):
                     t = target[at : at + BATCH]
                     z, _, total = logits(weights, index[:, at : at + BATCH])
                     context[at : at + BATCH] = (z[np.arange(len(t)), t] - np.log(total)) * scale - room[t]
-                logs, hits = m.logs[place], place >= 0  # log10(0.5) for the others so far
                 firsts = np.cumsum([0, *counts[:-1]])
-                part = batch.iloc[low : low + len(texts)]
-                low += len(texts)
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].values, "text_key": part["text_key"].values, "n_tokens": counts, "n_hot": np.add.reduceat(hits.astype(np.int64), firsts),
-                    "words": np.add.reduceat(logs, firsts), "context": np.add.reduceat(context, firsts),
-                })
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value[1]
-        for batch in batches:
-            texts, keys = batch.column("text").to_pylist(), batch.column("text_key").to_numpy()
-            for low in range(0, len(texts), 512):
-                words: list[bytes] = []
-                times: list[int] = []
-                each = []
-                for t in texts[low : low + 512]:
-                    found = Counter([w for w in words_of(t) if w not in hot])
-                    words += found.keys()
-                    times += found.values()
-                    each.append(len(found))
-                key = np.repeat(keys[low : low + 512], each)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(words, pa.binary()), pa.array(times, pa.int32())], ["text_key", "word", "c"])
-
-    per_doc = keyed.mapInPandas(tokens, "doc_id string, text_key long, n_tokens long, n_hot long, words double, context double")
-    rare_rows = keyed.select("text_key", "text").mapInArrow(rare, "text_key long, word binary, c int")
+                cuts = [*np.searchsorted(others, firsts).tolist(), len(rare)]
+                found = [Counter(rare[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+                # log10(0.5) for the rare words so far
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("text_key"), pa.array(counts, pa.int64()), pa.array(np.add.reduceat((place >= 0).astype(np.int64), firsts)), pa.array(np.add.reduceat(m.logs[place], firsts)),
+                    pa.array(np.add.reduceat(context, firsts)), pa.array([list(c) for c in found], pa.list_(pa.binary())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
+                ], ["doc_id", "text_key", "n_tokens", "n_hot", "words", "context", "rare", "times"])
+
+    kind = "doc_id string, text_key long, n_tokens long, n_hot long, words double, context double, rare array<binary>, times array<int>"
+    scored = materialize(keyed.mapInArrow(tokens, kind), "lm-scored")
+    per_doc = scored.drop("rare", "times")
+    rare_rows = scored.select("text_key", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("text_key", F.col("r.rare").alias("word"), F.col("r.times").alias("c"))
     seen = model.counts.filter(F.col("n") < F.lit(model.cut)).select(F.col("word").alias("w"), (F.log10(F.col("n") + 0.5) - F.lit(unseen)).alias("gain"))
     sums = rare_rows.join(seen, F.col("word") == F.col("w")).groupBy("text_key").agg(F.sum("c").alias("n_rare"), F.sum(F.col("c") * F.col("gain")).alias("rare_gain"))
     same = F.count("*").over(Window.partitionBy("text_key"))  # repeated rows have added their words that often

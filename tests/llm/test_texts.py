@@ -178,7 +178,8 @@ def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     m = lmscore.Model([b"a"], {b"a": 5, b"b": 3, b"": 2})
     weights = rng.standard_normal((lmscore.FEATURES, lmscore.CLASSES)).astype(np.float32)
-    _, counts, _, index = m.rows(["a b c", "", "b a zz a"])
+    _, counts, _, index, _, rare = m.rows(["a b c", "", "b a zz a"])
+    assert rare == [b"c", b"zz"]
     z, e, total = lmscore.logits(weights, index)
     assert counts == [4, 1, 5] and np.allclose((e / total[:, None]).sum(axis=1), 1, atol=1e-5) and np.allclose(np.exp(z).sum(axis=1), total, rtol=1e-4)
 
