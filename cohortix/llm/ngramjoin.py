@@ -387,9 +387,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> Dat
     merged = components(verified.filter("in_parts").select(F.col("key").alias("a"), F.col("root").alias("b")))
     final = settled.unionByName(merged)
     roots = classes.select("key", "first_id", "copies").join(final, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key"))
-    names = roots.groupBy("root").agg(F.min("first_id").alias("class_id")).withColumnRenamed("root", "r")
+    roots = materialize(roots, "roots")
+    names = materialize(roots.groupBy("root").agg(F.min("first_id").alias("class_id")).withColumnRenamed("root", "r"), "names")
     named = roots.join(names, F.col("root") == F.col("r")).join(counts.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
     named = named.select(F.col("key").alias("k"), "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"))
+    # written tables on both sides of a join let a class with very many texts or copies be split among tasks
+    named = materialize(named, "named")
     out = profiles.select("doc_id", "key").join(named, F.col("key") == F.col("k"), "left")
     out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"))
     return out.unionByName(nameless)
