@@ -44,6 +44,8 @@ ROUNDS = 3
 BATCH = 8192
 RATE = 0.15
 FAN_IN = 16
+#: Rows of one feature in a batch up to which they are added rank by rank.
+LONG_RUN = 8
 END = b""
 HELD_OUT = (5, 1)
 #: Distinct words that a task counts before it passes them on.
@@ -120,19 +122,38 @@ def slot(x: np.ndarray, kind: int) -> np.ndarray:
 
 def logits(weights: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(logits, their exponentials, the sums of these) of a batch."""
-    z = weights[index[0]]
+    z = weights.take(index[0], axis=0)
     for f in index[1:]:
-        z += weights[f]
+        z += weights.take(f, axis=0)
     z += weights[0]
     e = np.exp(z)
-    total = e.sum(axis=1)
+    ones = np.ones(z.shape[1], z.dtype)
+    total = e @ ones
     if not np.isfinite(total).all():
         z -= z.max(axis=1, keepdims=True)
         e = np.exp(z)
-        total = e.sum(axis=1)
+        total = e @ ones
     return z, e, total
 
 
+def summed(g: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct features, sums of their rows of g). Most features of a batch are rare, so rows are added rank by rank, and long runs by a product."""
+    order = np.argsort(feature.astype(np.uint16), kind="stable")
+    ranked, rows = feature[order], g.take(order, axis=0)
+    firsts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+    n = np.diff(np.r_[firsts, len(ranked)])
+    out = rows.take(firsts, axis=0)
+    short = np.flatnonzero((n > 1) & (n <= LONG_RUN))
+    for rank in range(1, LONG_RUN):
+        short = short[n[short] > rank]
+        if not len(short):
+            break
+        out[short] += rows.take(firsts[short] + rank, axis=0)
+    for i in np.flatnonzero(n > LONG_RUN).tolist():
+        out[i] = np.ones(n[i], g.dtype) @ rows[firsts[i] : firsts[i] + n[i]]
+    return ranked[firsts], out
+
+
 def step(weights: np.ndarray, squares: np.ndarray, at, total: np.ndarray) -> None:
     """A gradient step for some rows of the weights, each entry by its own gathered squares."""
     s = total * total
@@ -157,11 +178,8 @@ def train_share(model: Model, weights: np.ndarray, squares: np.ndarray, texts: I
             g *= (1 / total)[:, None]
             g[np.arange(len(t)), t] -= 1
             for f in ix:
-                order = np.argsort(f.astype(np.uint16), kind="stable")
-                sorted_f = f[order]
-                firsts = np.flatnonzero(np.r_[True, sorted_f[1:] != sorted_f[:-1]])
-                step(weights, squares, sorted_f[firsts], np.add.reduceat(g[order], firsts, axis=0))
-            step(weights, squares, slice(0, 1), g.sum(axis=0, keepdims=True))
+                step(weights, squares, *summed(g, f))
+            step(weights, squares, slice(0, 1), (np.ones(len(t), g.dtype) @ g)[None, :])
             seen += len(t)
     return seen
 
