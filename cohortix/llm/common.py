@@ -27,11 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage is cut and a lost executor costs nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cohortix/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out._cx_path = path
     return out

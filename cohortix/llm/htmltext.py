@@ -2,15 +2,17 @@
 
 A page is a sequence of tokens: elements, told apart by their path of tags and
 classes, and whole text blocks at their path.  For every host, a token's occurrence
-vector says how often each of the host's pages has it.  Vectors are compared by
+vector says how often each of the host's distinct pages has it; pages that agree in all
+text that may be the article's are copies and count as one.  Vectors are compared by
 their fingerprint (the sum of a page hash times the count), which combines in any order, so a
 host with very many pages is aggregated like any other.  Tokens that share a
-vector form an equivalence class; classes of enough pages are valid, and a class is
-nested in the one that holds the nearest enclosing element of its tokens.  The root class and
-its descendants are the host's template: text blocks in it are fixed text, and
-what varies between its elements are slots.  The article is the innermost
-slot (an element that a page has once) which holds nearly all of the text that is neither
-fixed nor within menus, headers, footers, sidebars, notices, adverts, forms or comments.
+vector form an equivalence class.  A class of enough pages is valid if it has an element, and
+nested in the class of the nearest element that encloses its outermost one.  The root class (of
+the page itself) and its descendants are the host's template: text blocks of these classes, within
+the class's outermost element, are fixed text, and all else are slots.  So text that some pages
+repeat without markup of its own, such as a copied article, is no template.  The article is the text of all slots,
+without menus, headers, footers, sidebars, notices, adverts, forms and comments, which fixed lists of
+element, role, class and id names tell.
 
 Edge cases: null or empty html gives an empty text; pages without a host (null
 or odd url) share the host ''; a host with a single page has every element in one
@@ -24,20 +26,16 @@ import html as entities
 import re
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_as_text, id_restored, materialize
 
-#: A text block is fixed text if that many pages of its host, and that share of them, have it at the same path.
+#: A class is valid if that many distinct pages of its host, and that share of them, have its tokens.
 LEAST_PAGES = 5
-FIXED_SHARE = 0.6
-#: A slot is an element that this share of the pages have, once each, and that holds this share of the free text.
-SLOT_SHARE = 0.5
-SLOT_TEXT = 0.85
+CLASS_SHARE = 0.6
 #: Tokens that a task gathers before it passes them on.
 FLUSH = 50_000
 #: Pages whose texts a task holds at once.
@@ -53,7 +51,6 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 CLOSES_P = BLOCKS - frozenset("body head html option caption tbody td tfoot th thead tr legend summary".split())
 ASIDE = frozenset("nav footer aside form menu dialog button select fieldset head svg canvas object audio video search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-SLOTS = frozenset("article main section div td body html center".split())
 #: Words of class and id attributes that name what is not the article.
 NOT_ARTICLE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner nav navbar navigation menu menus breadcrumb breadcrumbs "
@@ -160,7 +157,7 @@ def parse(source: str) -> list[tuple[tuple, bool, str]]:
             excluded = False
         if excluded and not (stack and stack[-1][2]) and tag not in BLOCKS:
             flush()
-        stack.append((tag, (stack[-1][1] if stack else "") + "/" + tag + names, excluded))
+        stack.append((tag, (stack[-1][1] if stack else "") + "/" + tag.replace(".", "_") + names, excluded))
     flush()
     return out
 
@@ -170,107 +167,153 @@ def token(path: str, text: str | None = None) -> int:
     return xxhash.xxh3_64_intdigest(path if text is None else f"{path}\0{text}") - (1 << 63)
 
 
+#: The page itself, which encloses all of its elements.
+PAGE = token("")
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+def enclosing(path: str, known: dict[str, list[str]]) -> list[str]:
+    """The paths of the block elements that a path leads through, its own last."""
+    found = known.get(path)
+    if found is None:
+        parts = path.split("/")[1:]
+        found = known[path] = ["/" + "/".join(parts[: i + 1]) for i, part in enumerate(parts) if part.split(".", 1)[0] in BLOCKS]
+    return found
+
+
+def read(pages: DataFrame) -> DataFrame:
+    """(row, page_id, url, host, print, paths, names, texts): the parsed pages, written once. texts has null for excluded blocks, and print is of the others, so copies of an article share it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(low, PAGES) for b in batches for low in range(0, len(b), PAGES)):
+            paths, names, texts, prints = [], [], [], []
+            for source in batch.column("html").to_pylist():
+                blocks = parse(source or "")
+                paths.append([p[-1] if p else "" for p, _, _ in blocks])
+                names.append([token(p, t) for p, (_, _, t) in zip(paths[-1], blocks, strict=True)])
+                texts.append([None if x else t for _, x, t in blocks])
+                prints.append(token(",".join(str(n) for n, t in zip(names[-1], texts[-1], strict=True) if t is not None)))
+            kinds = (pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string()))
+            made = [pa.array(prints, pa.int64()), *[pa.array(v, k) for v, k in zip((paths, names, texts), kinds, strict=True)]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("page_id", "url", "host")], *made], ["page_id", "url", "host", "print", "paths", "names", "texts"])
+
+    kind = "page_id string, url string, host string, print long, paths array<string>, names array<long>, texts array<string>"
+    named = id_as_text(pages.select("page_id", "url", "html"), "page_id").withColumn("host", host_of(F.col("url")))
+    return materialize(named.mapInArrow(run, kind).withColumn("row", F.monotonically_increasing_id()), "html-parsed", "zstd")
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, path, pages, count, vector, mass): occurrence vectors of all tokens; path is null for text blocks, and '' stands for the page."""
+    """(host, token, path, place, pages, count, vector): occurrence vectors of all tokens; path is null for text blocks, and '' stands for the page; place names the nearest enclosing element."""
+    return vectors(read(pages))
+
+
+def vectors(parsed: DataFrame) -> DataFrame:
+    """The occurrence vectors over the distinct pages of each host: however many pages repeat an article, it is one sample of the template."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple, list] = {}
+        known: dict[str, list[str]] = {}
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             hosts, tokens = zip(*found, strict=True)
-            paths, *numbers = zip(*found.values(), strict=True)
-            return pd.DataFrame({"host": hosts, "token": tokens, "path": paths, "pages": numbers[0], "count": numbers[1], "vector": numbers[2], "mass": numbers[3]})
+            names = ("path", "place", "pages", "count", "vector")
+            kinds = (pa.string(), *[pa.int64()] * 4)
+            made = [pa.array(v, k) for v, k in zip(zip(*found.values(), strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.int64()), *made], ["host", "token", *names])
 
         for batch in batches:
-            for host, page, source in zip(batch["host"], batch["page"], batch["html"], strict=True):
-                blocks = parse(source or "")
-                own: dict[int, list] = {token(""): ["", 1, 0]}
-                last: tuple = ()
-                for paths, excluded, text in blocks:
+            for host, page, places, names in zip(*[batch.column(c).to_pylist() for c in ("host", "page", "paths", "names")], strict=True):
+                own: dict[int, list] = {PAGE: ["", None, 1]}
+                last: list[str] = []
+                for place, text in zip(places, names, strict=True):
+                    paths = enclosing(place, known)
                     same = next((i for i, (a, b) in enumerate(zip(paths, last)) if a != b), min(len(paths), len(last)))  # noqa: B905
                     if same == len(paths):
                         same = max(0, same - 1)  # another block in an element of the same path
+                    above = PAGE
                     for i, path in enumerate(paths):
-                        entry = own.setdefault(token(path), [path, 0, 0])
-                        entry[1] += i >= same or entry[1] == 0
-                        entry[2] += 0 if excluded else len(text)
-                    own[token("")][2] += 0 if excluded else len(text)
-                    entry = own.setdefault(token(paths[-1] if paths else "", text), [None, 0, 0])
-                    entry[1] += 1
+                        name = token(path)
+                        entry = own.setdefault(name, [path, above, 0])
+                        entry[2] += i >= same or entry[2] == 0
+                        above = name
+                    own.setdefault(text, [None, above, 0])[2] += 1
                     last = paths
-                for name, (path, count, mass) in own.items():
-                    entry = found.setdefault((host, name), [path, 0, 0, 0, 0])
-                    entry[1] += 1
-                    entry[2] += count
-                    entry[3] = (entry[3] + page * count + (1 << 63)) % (1 << 64) - (1 << 63)
-                    entry[4] += mass
+                for name, (path, above, count) in own.items():
+                    entry = found.setdefault((host, name), [path, above, 0, 0, 0])
+                    entry[2] += 1
+                    entry[3] += count
+                    entry[4] = (entry[4] + page * count + (1 << 63)) % (1 << 64) - (1 << 63)
                 if len(found) > FLUSH:
                     yield flush()
                     found.clear()
         if found:
             yield flush()
 
-    kind = "host string, token long, path string, pages long, count long, vector long, mass long"
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("page"), "html").mapInPandas(run, kind)
+    kind = "host string, token long, path string, place long, pages long, count long, vector long"
+    firsts = parsed.groupBy("host", "print").agg(F.min("row").alias("row")).select("row")
+    rows = parsed.join(firsts, "row", "left_semi").select("host", F.xxhash64("row").alias("page"), "paths", "names").mapInArrow(run, kind)
     wrapped = F.sum(F.col("vector").cast("decimal(38,0)")) % F.lit(str(1 << 64)).cast("decimal(38,0)")
-    # a token names its path, so the path is part of the key: sums alone can be combined in a hash map
-    return rows.groupBy("host", "token", "path").agg(F.sum("pages").alias("pages"), F.sum("count").alias("count"), wrapped.alias("vector"), F.sum("mass").alias("mass"))
+    # a token names its path and place, so these are part of the key: sums alone can be combined in a hash map
+    return rows.groupBy("host", "token", "path", "place").agg(F.sum("pages").alias("pages"), F.sum("count").alias("count"), wrapped.alias("vector"))
 
 
 def equivalence_classes(found: DataFrame) -> DataFrame:
-    """(host, vector, class_pages, tokens, paths, parent): tokens of a host that share an occurrence vector, nested by the nearest enclosing element in another class."""
+    """(host, vector, class_pages, tokens, outermost, parent): tokens of a host that share an occurrence vector, nested by the nearest enclosing element in another class.
+
+    outermost is the path of the class's outermost element, null without one. A page with an element has all that enclose it, so
+    the classes with an element are nested in each other up to the root class, the one of the page itself.
+    """
     sized = valid_tokens(found)
-    classes = sized.groupBy("host", "vector").agg(F.max("pages").alias("class_pages"), F.count("*").alias("tokens"), F.min_by("path", F.when(F.col("path").isNotNull(), F.length("path"))).alias("outermost"))
-    above = F.regexp_replace("outermost", r"/[^/]*$", "")
-    named = sized.filter("path IS NOT NULL").select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("vector").alias("parent"))
-    return classes.withColumn("above", above).join(named, (F.col("host") == F.col("h")) & (F.col("above") == F.col("p")), "left").select("host", "vector", "class_pages", "tokens", "outermost", "parent")
+    depth = F.when(F.col("path").isNotNull(), F.length("path"))
+    classes = sized.groupBy("host", "vector").agg(F.max("pages").alias("class_pages"), F.count("*").alias("tokens"), F.min_by("path", depth).alias("outermost"), F.min_by("place", depth).alias("above"))
+    named = sized.filter("path IS NOT NULL").select(F.col("host").alias("h"), F.col("token").alias("t"), F.col("vector").alias("parent"))
+    return classes.join(named, (F.col("host") == F.col("h")) & (F.col("above") == F.col("t")), "left").select("host", "vector", "class_pages", "tokens", "outermost", "parent")
 
 
 def valid_tokens(found: DataFrame) -> DataFrame:
-    """Tokens on at least SLOT_SHARE of their host's pages (a host of a page of n tokens has n / SLOT_SHARE of them at most), with ``all_pages`` and ``all_mass``."""
-    whole = found.filter(F.col("path") == "").select(F.col("host").alias("_h"), F.col("pages").alias("all_pages"), F.col("mass").alias("all_mass"))
+    """Tokens on at least CLASS_SHARE of their host's distinct pages (a host of a page of n tokens has n / CLASS_SHARE of them at most)."""
+    whole = found.filter(F.col("path") == "").select(F.col("host").alias("_h"), F.col("pages").alias("all_pages"))
     # while the hosts are few, a broadcast spares the shuffle of all tokens of a large host to one task
     side = F.broadcast(whole) if whole.count() <= MOST_HOSTS else whole
-    return found.join(side, F.col("host") == F.col("_h")).drop("_h").filter(F.col("pages") >= F.lit(SLOT_SHARE) * F.col("all_pages"))
+    return found.join(side, F.col("host") == F.col("_h")).drop("_h").filter(F.col("pages") >= F.lit(CLASS_SHARE) * F.col("all_pages"))
 
 
 def templates(found: DataFrame) -> DataFrame:
-    """(host, slot, fixed): the path of each host's article slot ('' for the page) and the names of its fixed text blocks."""
-    sized = valid_tokens(found)
-    element = F.regexp_extract("path", r"/([a-z0-9]+)[^/]*$", 1)
-    is_slot = (F.col("path") == "") | (element.isin(*SLOTS) & (F.col("count") == F.col("pages")) & (F.col("mass") >= F.lit(SLOT_TEXT) * F.col("all_mass")))
-    fixed = F.col("path").isNull() & (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= F.lit(FIXED_SHARE) * F.col("all_pages"))
-    depth = F.struct(F.size(F.split("path", "/")), F.col("mass"), F.col("path"))
-    return sized.groupBy("host").agg(F.max_by("path", F.when(is_slot, depth)).alias("slot"), F.array_sort(F.collect_list(F.when(fixed, F.col("token")))).alias("fixed"))
+    """(host, fixed): the names of each host's fixed text blocks, those of the root class and the valid classes nested in it."""
+    sized = materialize(valid_tokens(found), "html-valid")
+    root = (F.col("outermost") == "") | F.col("parent").isNotNull()
+    valid = equivalence_classes(found).filter((F.col("class_pages") >= LEAST_PAGES) & F.col("outermost").isNotNull() & root).select(F.col("host").alias("h"), F.col("vector").alias("v"), "outermost")
+    places = sized.filter("path IS NOT NULL").select(F.col("host").alias("g"), F.col("token").alias("t"), F.col("path").alias("at"))
+    texts = sized.filter("path IS NULL").select("host", "token", "place", "vector")
+    texts = texts.join(valid, (F.col("host") == F.col("h")) & (F.col("vector") == F.col("v"))).join(places, (F.col("host") == F.col("g")) & (F.col("place") == F.col("t")))
+    # a text of a nested class lies within the class's outermost element
+    inside = (F.col("outermost") == "") | (F.col("at") == F.col("outermost")) | F.startswith("at", F.concat("outermost", F.lit("/")))
+    return texts.filter(inside).groupBy("host").agg(F.array_sort(F.collect_set("token")).alias("fixed"))
 
 
-def article(source: str | None, slot: str, fixed: set[int]) -> str:
-    """The free text blocks of a page that lie in the slot (in the whole page if the page lacks the slot)."""
-    blocks = [(paths, text) for paths, excluded, text in parse(source or "") if not excluded]
-    inside = [(paths, text) for paths, text in blocks if slot in paths] if slot else blocks
-    if not inside:
-        inside = blocks
-    return "\n".join(text for paths, text in inside if not fixed or token(paths[-1] if paths else "", text) not in fixed)
+def article(names: list[int], texts: list[str | None], fixed: set[int]) -> str:
+    """The text of all slots: the blocks that are neither excluded nor fixed."""
+    return "\n".join(t for n, t in zip(names, texts, strict=True) if t is not None and n not in fixed)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    pages = pages.select("page_id", "url", "html")
-    found = materialize(occurrences(pages), "html-tokens")
+    parsed = read(pages)
+    found = materialize(vectors(parsed), "html-tokens")
     models = materialize(templates(found), "html-templates")
-    size = models.agg(F.count("*").alias("n"), F.sum(F.lit(64) + F.length("slot") + 8 * F.size("fixed")).alias("bytes")).first()
+    size = models.agg(F.count("*").alias("n"), F.sum(F.lit(64) + 8 * F.size("fixed")).alias("bytes")).first()
     small = size["n"] <= MOST_HOSTS and (size["bytes"] or 0) <= MOST_BYTES
     models = models.withColumnRenamed("host", "h")
     side = F.broadcast(models) if small else models
-    joined = pages.withColumn("host", host_of(F.col("url"))).join(side, F.col("host") == F.col("h"), "left").select("page_id", "url", "html", "slot", "fixed")
+    joined = parsed.join(side, F.col("host") == F.col("h"), "left").select("page_id", "url", "names", "texts", "fixed")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in (b.iloc[low : low + PAGES] for b in batches for low in range(0, len(b), PAGES)):
-            texts = [article(s, slot or "", set(np.asarray(fixed).tolist()) if fixed is not None else set()) for s, slot, fixed in zip(batch["html"], batch["slot"], batch["fixed"], strict=True)]
-            yield pd.DataFrame({"page_id": batch["page_id"].values, "url": batch["url"].values, "text": texts, "n_chars": [len(t) for t in texts]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(low, PAGES) for b in batches for low in range(0, len(b), PAGES)):
+            rows = zip(*[batch.column(c).to_pylist() for c in ("names", "texts", "fixed")], strict=True)
+            texts = [article(names, blocks, set(fixed or ())) for names, blocks, fixed in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return id_restored(id_as_text(joined, "page_id").mapInPandas(run, "page_id string, url string, text string, n_chars long"), pages, "page_id")
+    return id_restored(joined.mapInArrow(run, "page_id string, url string, text string, n_chars long"), pages, "page_id")

@@ -93,6 +93,21 @@ def test_classes_share_vectors(spark):
     assert root["class_pages"] == 4 and root["tokens"] >= 8 and any(c["parent"] == root["vector"] for c in classes)
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    """Nor are 60 % of the pages, with all of the host's pages, near copies or markup that only the copies have."""
+    copy = "<article><h1>Copied</h1><p>first</p><blockquote>said</blockquote><p>All rights reserved</p></article>"
+    note = "<div class=lead><p>Members only</p></div>"
+    pages = [(i, "http://h.example/", copy) for i in range(12)]
+    pages += [(i, "http://h.example/", f"<article><h1>Own {i}</h1>{note if i < 19 else ''}<p>text {i}</p><p>All rights reserved</p></article>") for i in range(12, 20)]
+    pages += [(i, "http://same.example/", copy + f"<footer>{i}</footer>") for i in range(20, 30)]
+    pages += [(i, "http://near.example/", f"<article><p>{'first' if i < 38 else i}</p><p>own {i}</p></article>") for i in range(30, 40)]
+    out = {r["page_id"]: r["text"] for r in htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {out[i] for i in range(12)} == {"Copied\nfirst\nsaid"}
+    assert [out[i] for i in range(12, 20)] == [f"Own {i}\ntext {i}" for i in range(12, 20)]  # the note has its own element, so it is a nested class
+    assert {out[i] for i in range(20, 30)} == {"Copied\nfirst\nsaid\nAll rights reserved"}
+    assert [out[i] for i in range(30, 40)] == [f"{'first' if i < 38 else i}\nown {i}" for i in range(30, 40)]
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 0.0
 
