@@ -108,6 +108,14 @@ def test_copies_of_an_article_are_no_template(spark):
     assert [out[i] for i in range(30, 40)] == [f"{'first' if i < 38 else i}\nown {i}" for i in range(30, 40)]
 
 
+def test_text_beside_the_body_element_is_kept(spark):
+    page = "<article><h1>Title {i}</h1><p>lede {i}</p><div class=body><p>{text}</p></div></article>"
+    texts = [f"long text {i} " * 40 for i in range(8)]
+    df = spark.createDataFrame([(i, "http://h.example/", page.format(i=i, text=t)) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in htmltext.extract(df).collect()}
+    assert [out[i] for i in range(8)] == [f"Title {i}\nlede {i}\n{t.strip()}" for i, t in enumerate(texts)]
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 0.0
 
