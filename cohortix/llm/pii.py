@@ -9,6 +9,9 @@ distinct instances, an instance's score follows from the confidence of its patte
 at 1; ROUNDS rounds of both are aggregations and joins.  A candidate whose shape is confident and has
 LEAST_SEEDS seeds, whose score is high and which passes the checks of its kind is an identifier that the
 exact rules had missed (such as a phone number that runs into a card number).
+Words before that are confident by themselves (LEAST_SEEDS distinct seeds of a kind, and
+LEAST_CONFIDENCE of all seeds and failing places after the word) propose windows of any shape; they hold if they pass
+the stricter check of resembles().
 
 Edge cases: null text is an empty text, without spans; long texts are searched as
 a whole, and the expressions cannot backtrack over a run of characters more than once; repeated rows give
@@ -87,6 +90,17 @@ def passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def resembles(kind: str, value: Column) -> Column:
+    """The check of a window of any shape: what passes() asks, and what the kind's expression implies."""
+    if kind == "email":
+        return value.rlike(r"^[^@]*[A-Za-z0-9][^@]*@[^@]*[A-Za-z0-9][^@]*[^A-Za-z0-9@]+[A-Za-z]{2,}[^@A-Za-z0-9]*$")
+    plain = ~value.rlike(r"[\p{L}@]")
+    if kind == "ip":
+        parts = F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0))
+        return plain & (F.size(parts) == 4) & passes("ip", F.array_join(parts, "."))
+    return plain & passes(kind, value)
+
+
 def spans_of_kind(text: Column, i: int) -> Column:
     ok = F.filter(located(text, EXPRESSIONS[KINDS[i]]), lambda m: passes(KINDS[i], m["value"]))
     return F.transform(ok, lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["stop"].alias("stop"), m["value"].alias("value")))
@@ -137,15 +151,16 @@ def find(docs: DataFrame) -> DataFrame:
     seeds = found.select(F.inline("seeds")).select("kind", "value", shape(F.col("value")).alias("shape"), "before").distinct()
     candidates = found.select("doc_id", "text_key", "spans", F.explode("windows").alias("w")).select("doc_id", "text_key", "spans", "w.*")
     candidates = candidates.withColumn("shape", shape(F.col("value"))).distinct()
-    shapes = seeds.groupBy("kind", "shape").agg(F.approx_count_distinct("value").alias("n")).filter(F.col("n") >= LEAST_SEEDS).select("kind", "shape")
+    shapes = seeds.groupBy("kind", "shape").agg(F.count_distinct("value").alias("n")).filter(F.col("n") >= LEAST_SEEDS).select("kind", "shape")
     ok = F.lit(False)
     for i, kind in enumerate(KINDS):
         ok = ok | ((F.col("kind") == i) & passes(kind, F.col("value")))
     possible = materialize(candidates.join(shapes, "shape"), "pii-candidates")
     accepted = scored(seeds, possible.select("kind", "value", "shape", "before", ok.alias("checks")).distinct())
-    new = possible.filter(ok).join(accepted, ["kind", "value", "shape", "before"], "left_semi")
-    # of the windows that overlap, the first and longest one holds
-    listed = new.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", (-F.col("stop")).alias("back"), "kind", "value"))).alias("new"))
+    new = possible.filter(ok).join(accepted, ["kind", "value", "shape", "before"], "left_semi").withColumn("by", F.lit(0))
+    new = new.select("doc_id", "text_key", "by", "start", "stop", "kind", "value").unionByName(proposed(seeds, candidates))
+    # of the windows that overlap, the first one holds, then one of a known shape, then the longest
+    listed = new.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "by", (-F.col("stop")).alias("back"), "kind", "value"))).alias("new"))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
     chosen = F.aggregate(
         "new", empty,
@@ -177,6 +192,25 @@ def windows(text: Column, words: Column, spans: Column) -> Column:
     return F.when(F.size(words) > 0, clear).otherwise(F.array().cast("array<struct<start:int,stop:int,value:string,before:string>>"))
 
 
+def proposed(seeds: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(doc_id, text_key, by, start, stop, kind, value): windows of any shape after words that are confident for their kind."""
+    places = range(len(KINDS))
+    checked = candidates.filter(F.col("before") != "").select("doc_id", "text_key", "start", "stop", "value", "before", *[resembles(k, F.col("value")).alias(f"ok{i}") for i, k in enumerate(KINDS)])
+    # a place fails for a kind if none of the windows that begin there passes; equal ones count once
+    place = checked.groupBy("doc_id", "text_key", "start", "before").agg(F.min_by("value", "stop").alias("value"), *[F.bool_or(f"ok{i}").alias(f"ok{i}") for i in places])
+    failed = place.groupBy("before", "value").agg(*[F.bool_and(f"ok{i}").alias(f"ok{i}") for i in places])
+    failed = failed.groupBy("before").agg(*[F.count_if(~F.col(f"ok{i}")).alias(f"failed{i}") for i in places])
+    known = seeds.filter(F.col("before") != "").select("kind", "value", "before").distinct().groupBy("before").agg(F.count("*").alias("all"), *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in places])
+    words = known.join(failed.withColumnRenamed("before", "b"), F.col("before") == F.col("b"), "left")
+    sure = [(F.col(f"n{i}") >= LEAST_SEEDS) & (F.col(f"n{i}") >= LEAST_CONFIDENCE * (F.col("all") + F.coalesce(f"failed{i}", F.lit(0)))) for i in places]
+    kinds = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(sure)]), lambda k: k.isNotNull())
+    words = words.select("before", F.explode(kinds).alias("kind"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    fine = F.filter(F.array(*[F.when(F.col(f"ok{i}"), F.lit(i)) for i in places]), lambda k: k.isNotNull())
+    passed = checked.select("doc_id", "text_key", "start", "stop", "value", "before", F.explode(fine).alias("kind")).withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
+    return passed.join(words.select("*", salts), ["before", "kind", "salt"], "left_semi").select("doc_id", "text_key", F.lit(1).alias("by"), "start", "stop", "kind", "value")
+
+
 def scored(seeds: DataFrame, candidates: DataFrame) -> DataFrame:
     """Distinct candidates (kind, value, shape, before) that the scores of the pattern-instance graph accept."""
     nodes = seeds.select("kind", "value", "shape", "before", F.lit(True).alias("seed"), F.lit(1.0).alias("score"))

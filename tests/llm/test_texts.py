@@ -96,6 +96,15 @@ def test_patterns_discover_what_the_rules_miss(spark, make_docs):
     assert sorted((r["doc_id"], r["spans"]) for r in twice) == sorted((i, s) for i, s in out.items() for _ in "xx")
 
 
+def test_context_proposes_new_shapes(spark, make_docs):
+    """After a word that seeds of one kind follow, windows of a shape that no seed has; not after other words, nor what fails the kind's check."""
+    seeds = [f"call +1 (55{i}) 010-99{i}{i} now" for i in range(10)] + [f"paid {card_number(i)} and left" for i in range(5)]
+    n = card_number(7)
+    texts = [*seeds, "call 555-0199-2233 now", f"paid {n[:4]}.{n[4:8]}.{n[8:12]}.{n[12:]} and left", "code 555-0199-2233 now", "paid 4111.1111.1111.1112 and left"]
+    out = {r["doc_id"]: r["spans"] for r in pii.detect(make_docs(texts)).collect()}
+    assert [out[i] for i in range(15, 19)] == ["phone:5:18", "card:5:24", "", ""]
+
+
 def test_pii_stays_in_the_jvm(spark, make_docs):
     plan = pii.detect(make_docs(PII))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
