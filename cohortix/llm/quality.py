@@ -101,9 +101,9 @@ def measurements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
-def failure_bits() -> Column:
-    """The bitmask of failed rules, over the measurement columns."""
-    return sum((F.when(F.expr(sql), F.lit(1 << bit)).otherwise(F.lit(0)) for bit, sql in RULES.values()), F.lit(0)).cast("long")
+def failure_bits(struct: str | None = None) -> Column:
+    """The bitmask of failed rules, over the measurement columns or those of a struct."""
+    return sum((F.when(F.expr(qualified(sql, struct) if struct else sql), F.lit(1 << bit)).otherwise(F.lit(0)) for bit, sql in RULES.values()), F.lit(0)).cast("long")
 
 
 def ledger(docs: DataFrame) -> DataFrame:
@@ -142,9 +142,8 @@ def filter_documents(docs: DataFrame, policy: str = "full-1") -> DataFrame:
         return pd.DataFrame([measure(t) for t in texts], columns=list(MEASURES), dtype="int64")
 
     measured = docs.withColumn(name, F.pandas_udf(one, ", ".join(f"{m} long" for m in MEASURES))(F.col("text")))
-    conditions = [sql for rule, (_, sql) in RULES.items() if rule in POLICIES[policy]]
-    fails = " OR ".join(f"({qualified(sql, name)})" for sql in conditions)
-    return measured.filter(~F.expr(fails)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = failure_bits(name).bitwiseAND(F.lit(policy_mask(policy))) == 0
+    return measured.filter(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def qualified(sql: str, struct: str) -> str:

@@ -47,6 +47,14 @@ def test_ledger_policies_and_ablation(spark, make_docs, odd_texts):
     assert quality.ledger(docs.unionByName(docs)).count() == 2 * docs.count()
 
 
+def test_filter_follows_the_mask(spark, make_docs, odd_texts, monkeypatch):
+    docs = make_docs([*odd_texts, "A clean text of more than ten quite ordinary words, written once."])
+    masks = {r["doc_id"]: r["failures"] for r in quality.ledger(docs).collect()}
+    for bit, _ in quality.RULES.values():
+        monkeypatch.setattr(quality, "policy_mask", lambda policy, bit=bit: 1 << bit)
+        assert {r["doc_id"] for r in quality.filter_documents(docs).collect()} == {i for i, m in masks.items() if not m & 1 << bit}
+
+
 def plain_spans(text):
     kinds = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
     out = []
