@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,33 +18,63 @@ WORD_BREAKS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); a local one only where it is unset."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``); one is made only where it is unset and Spark runs in a single process, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
-        found = "file://" + tempfile.mkdtemp(prefix="cohortix-")
-        spark.sparkContext.setCheckpointDir(found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cohortix-"))
         found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return found
 
 
-def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage is cut and a lost executor costs nothing."""
+#: Rows of an Arrow batch where rows hold whole texts; small batches keep the buffers of both sides small.
+TEXT_ROWS = 1000
+
+
+def materialize(df: DataFrame, name: str, codec: str | None = None, arrow_rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage is cut and a lost executor costs nothing.
+
+    arrow_rows: rows that Spark hands to Python at a time in this job. The table is removed by ``discard`` or when the driver ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cohortix/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=codec)
+    with arrow_batches(spark, arrow_rows):
+        df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out._cx_path = path
+    system, place = located(spark, path)
+    system.deleteOnExit(place)
     return out
 
 
-def discard(written: DataFrame) -> None:
-    """Deletes a table that materialize has written, once nothing reads it any more."""
-    jvm = written.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(written._cx_path)
-    path.getFileSystem(written.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Jobs that run meanwhile hand so many rows to Python at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows is not None:
+        spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def located(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of the JVM."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def discard(*written: DataFrame) -> None:
+    """Deletes tables that materialize has written, once nothing reads them any more."""
+    for table in written:
+        system, place = located(table.sparkSession, table._cx_path)
+        system.delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,9 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
-MOST_ROUNDS = 100
 #: Edges that a task contracts at once.
 CONTRACT = 500_000
 #: Edges (after the first contraction) that one task may finish; a few megabytes.
@@ -34,18 +33,23 @@ def components(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     kind = pairs.schema["u"].dataType.simpleString()
     current = materialize(pairs.mapInPandas(contract, f"u {kind}, v {kind}").distinct(), "stars")
     if current.count() <= in_one_task:
-        current = materialize(current.coalesce(1).mapInPandas(contract, f"u {kind}, v {kind}"), "stars")
+        current = replaced(current, current.coalesce(1).mapInPandas(contract, f"u {kind}, v {kind}"))
     else:
-        for _ in range(MOST_ROUNDS):
-            if is_forest(current):
-                break
-            current = materialize(shortened(current), "stars")
+        while not is_forest(current):  # every round moves a node to a smaller one, so this ends
+            current = replaced(current, *shortened(current))
     roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def shortened(stars: DataFrame) -> DataFrame:
-    """One round: least smaller neighbours, then a step of every centre to its own."""
+def replaced(old: DataFrame, new: DataFrame, *used: DataFrame) -> DataFrame:
+    """The new stars, written, after which the old ones and the tables they were made from go."""
+    written = materialize(new, "stars")
+    discard(old, *used)
+    return written
+
+
+def shortened(stars: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round: least smaller neighbours, then a step of every centre to its own. Also gives the two tables that it wrote."""
     least = stars.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most"))
     several = least.filter("m <> most").select(F.col("u").alias("w"), "m")
     others = stars.join(several, F.col("u") == F.col("w")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -58,7 +62,7 @@ def shortened(stars: DataFrame) -> DataFrame:
         salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt2")
         salted = single.withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(SALTS)))
         moved = salted.join(moves.select("c", "to", salts), (F.col("v") == F.col("c")) & (F.col("salt") == F.col("salt2")), "left")
-    return moved.select("u", F.coalesce("to", "v").alias("v")).distinct()
+    return moved.select("u", F.coalesce("to", "v").alias("v")).distinct(), single, moves
 
 
 def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,6 +12,7 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,5 +149,5 @@ def filter_documents(docs: DataFrame, policy: str = "full-1") -> DataFrame:
 
 def qualified(sql: str, struct: str) -> str:
     for m in MEASURES:
-        sql = __import__("re").sub(rf"\b{m}\b", f"`{struct}`.{m}", sql)
+        sql = re.sub(rf"\b{m}\b", f"`{struct}`.{m}", sql)
     return sql
