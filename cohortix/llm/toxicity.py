@@ -12,7 +12,9 @@ labelled training rows.  Every whole text is scored with the fitted words' weigh
 Edge cases: null, empty or wordless texts get the score of the intercept;
 without confirmed positives every score is 0; documents with a null id are
 no training rows; repeated rows get equal scores; a document with several labels is a positive
-if any of them says so; an empty table gives no rows; other columns are ignored.
+if any of them says so; of several texts with one id the least is learned from; of words that tell the samples apart equally well, the first by
+name are chosen; very long texts count like others, by their distinct words; ids may be of any type; an empty table gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_as_text, id_remainder, id_restored, materialize
+from .common import discard, id_as_text, id_remainder, id_restored, materialize
 
 MOST_POSITIVES = 3000
 MOST_UNLABELLED = 9000
@@ -116,8 +118,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not prior or not n_p or not n_u:
         return {}, -50.0
-    rows = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "positive", "text")
+    rows = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("positive").alias("positive"), F.min("text").alias("text"))
     rows = materialize(rows, "toxic-texts")
+    discard(sample)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p, u = Counter(), Counter()
@@ -135,12 +138,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].values, "at": [sorted(vocabulary[w] for w in features(t) & vocabulary.keys()) for t in batch["text"]]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].values, "positive": batch["positive"].values, "at": [sorted(vocabulary[w] for w in features(t) & vocabulary.keys()) for t in batch["text"]]})
 
-    pairs = rows.mapInPandas(present, "doc_id long, at array<int>").select("doc_id", F.explode("at").alias("at")).toPandas()
-    ids = sample.toPandas().sort_values("doc_id", ignore_index=True)
-    row = np.searchsorted(ids["doc_id"].to_numpy(), pairs["doc_id"].to_numpy())
-    w, b = fit(pairs["at"].to_numpy().astype(np.int64), row, ids["positive"].to_numpy().astype(bool), max(1, len(vocabulary)), float(prior))
+    found = id_as_text(rows).mapInPandas(present, "doc_id string, positive boolean, at array<int>").orderBy("doc_id").collect()  # MOST_POSITIVES + MOST_UNLABELLED rows of MOST_WORDS entries at most
+    discard(rows)
+    row = np.repeat(np.arange(len(found)), [len(r["at"]) for r in found])
+    index = np.concatenate([np.array(r["at"], np.int64) for r in found])
+    w, b = fit(index, row, np.array([r["positive"] for r in found], bool), max(1, len(vocabulary)), float(prior))
     return {word: float(w[i]) for word, i in vocabulary.items()}, b
 
 
