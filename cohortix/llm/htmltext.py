@@ -11,13 +11,14 @@ nested in the class of the nearest element that encloses its outermost one.  The
 the page itself) and its descendants are the host's template: text blocks of these classes, within
 the class's outermost element, are fixed text, and all else are slots.  So text that some pages
 repeat without markup of its own, such as a copied article, is no template.  The article is the text of all slots,
-without menus, headers, footers, sidebars, notices, adverts, forms and comments, which fixed lists of
-element, role, class and id names tell.
+without menus, headers, footers, sidebars, notices, adverts, forms and comments, which elements and roles tell, and, as far as they
+differ from page to page, names of classes and ids that consist of such words (a shorter list of them within an article or main element).
 
 Edge cases: null or empty html gives an empty text; pages without a host (null
 or odd url) share the host ''; a host with a single page has every element in one
 class and no fixed text; unclosed tags and comments reach to the end; repeated rows are
-separate pages; an empty table gives no rows; other columns are ignored.
+separate pages; of tokens on equally many pages none goes before another, as classes are sets; very long pages are read whole, some hundred
+at a time and fewer where they are long; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ LEAST_PAGES = 5
 CLASS_SHARE = 0.6
 #: Tokens that a task gathers before it passes them on.
 FLUSH = 50_000
-#: Pages whose texts a task holds at once.
+#: Pages whose texts a task holds at once, and their bytes (a single page may have more).
 PAGES = 500
+PAGE_BYTES = 8 << 20
 #: Templates up to these many hosts and bytes are broadcast; more are joined by host.
 MOST_HOSTS = 5_000
 MOST_BYTES = 16 << 20
@@ -51,15 +53,23 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 CLOSES_P = BLOCKS - frozenset("body head html option caption tbody td tfoot th thead tr legend summary".split())
 ASIDE = frozenset("nav footer aside form menu dialog button select fieldset head svg canvas object audio video search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words of class and id attributes that name what is not the article.
+#: Words of names (the parts of class and id attributes between blanks) that tell what is not the article.
 NOT_ARTICLE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner nav navbar navigation menu menus breadcrumb breadcrumbs "
     "header masthead footer foot sidebar aside rail widget widgets cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
     "login register search share sharing social comment comments commentlist reply replies respond discussion disqus related recommended recommendations pagination pager toolbar copyright legal disclaimer".split()
 )
-
+#: Those that also tell it within an article or main element, where a header, notice or search is the article's own.
+IN_ARTICLE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promos nav navbar navigation menu menus breadcrumb breadcrumbs sidebar cookie cookies consent gdpr newsletter subscribe subscription signup "
+    "share sharing comment comments commentlist reply replies respond disqus related recommended recommendations pagination pager toolbar".split()
+)
+#: Words that say where or how big a part is, not what it is.
+PLAIN = frozenset("site page main top bottom left right inner outer box block section area list item content body text bar slot unit zone form wrap button links policy thread primary secondary js small large fixed sticky global leaderboard rectangle".split())
 #: Words that make a name describe the whole page ("has-sidebar", "page-wrapper").
-OF_PAGE = frozenset("has with no without layout wrapper container page".split())
+OF_PAGE = frozenset("has with no without layout wrapper container".split())
+#: Words that settle what a name means if they stand last.
+HEADS = frozenset("ad ads advert adverts advertisement banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar comment comments commentlist newsletter pagination".split())
 #: Of an article or main element, only these names count.
 NEVER_ARTICLE = frozenset("comment comments commentlist reply replies ad ads advert adverts promo sponsored related recommended teaser".split())
 
@@ -145,10 +155,10 @@ def parse(source: str) -> list[tuple[tuple, bool, str]]:
                 if kind == "role":
                     excluded = excluded or value.lower() in ROLES
                 else:
-                    words = [w.lower() for w in NAME_WORD.findall(value)]
-                    names += "." + "-".join(words)
-                    bad = NEVER_ARTICLE if tag in ("article", "main") else NOT_ARTICLE
-                    excluded = excluded or not (bad.isdisjoint(words) or (OF_PAGE & set(words) and tag not in ("nav", "aside")))
+                    names += "." + "-".join(w.lower() for w in NAME_WORD.findall(value))
+                    if not excluded:
+                        bad = NEVER_ARTICLE if tag in ("article", "main") else IN_ARTICLE if any(t in ("article", "main") for t, _, _ in stack) else NOT_ARTICLE
+                        excluded = any(names_part(part, bad) for part in value.split())
         if tag in ASIDE:
             excluded = True
         elif tag == "header" and not any(t in ("article", "main") for t, _, _ in stack):
@@ -162,6 +172,15 @@ def parse(source: str) -> list[tuple[tuple, bool, str]]:
     return out
 
 
+def names_part(name: str, bad: frozenset) -> bool:
+    """Whether a name tells that a part is not the article: all of its words say so, plain ones aside, or the last does and leaves no doubt ("reader-comments", not "promotion-of-health")."""
+    words = [w.lower() for w in NAME_WORD.findall(name)]
+    telling = [w for w in words if w not in PLAIN and len(w) > 1]
+    if not telling or telling[-1] not in bad or not OF_PAGE.isdisjoint(words):
+        return False
+    return telling[-1] in HEADS or bad.issuperset(telling)
+
+
 def token(path: str, text: str | None = None) -> int:
     """The 64-bit name of an element's or a text block's role."""
     return xxhash.xxh3_64_intdigest(path if text is None else f"{path}\0{text}") - (1 << 63)
@@ -184,11 +203,20 @@ def enclosing(path: str, known: dict[str, list[str]]) -> list[str]:
     return found
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches of at most PAGES rows and PAGE_BYTES of a column (a single page may have more)."""
+    for batch in batches:
+        each = max(1, int(PAGE_BYTES * len(batch) / max(1, batch.column(column).nbytes)))
+        step = min(PAGES, each)
+        for low in range(0, len(batch), step):
+            yield batch.slice(low, step)
+
+
 def read(pages: DataFrame) -> DataFrame:
     """(row, page_id, url, host, print, paths, names, texts): the parsed pages, written once. texts has null for excluded blocks, and print is of the others, so copies of an article share it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(low, PAGES) for b in batches for low in range(0, len(b), PAGES)):
+        for batch in slices(batches, "html"):
             paths, names, texts, prints = [], [], [], []
             for source in batch.column("html").to_pylist():
                 blocks = parse(source or "")
@@ -295,8 +323,8 @@ def templates(found: DataFrame) -> DataFrame:
 
 
 def article(names: list[int], texts: list[str | None], fixed: set[int]) -> str:
-    """The text of all slots: the blocks that are neither excluded nor fixed."""
-    return "\n".join(t for n, t in zip(names, texts, strict=True) if t is not None and n not in fixed)
+    """The text of all slots, the blocks that are neither excluded nor fixed, joined by two line feeds."""
+    return "\n\n".join(t for n, t in zip(names, texts, strict=True) if t is not None and n not in fixed)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -311,7 +339,7 @@ def extract(pages: DataFrame) -> DataFrame:
     joined = parsed.join(side, F.col("host") == F.col("h"), "left").select("page_id", "url", "names", "texts", "fixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(low, PAGES) for b in batches for low in range(0, len(b), PAGES)):
+        for batch in slices(batches, "texts"):
             rows = zip(*[batch.column(c).to_pylist() for c in ("names", "texts", "fixed")], strict=True)
             texts = [article(names, blocks, set(fixed or ())) for names, blocks, fixed in rows]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
