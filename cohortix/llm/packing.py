@@ -5,15 +5,16 @@ bounded size, one row each, so nothing is shuffled by a key and no document can
 be hot.  Each block is evolved on ISLANDS islands (rows of their own, different
 seeds).  A genome is a grouping of the block's pieces into bins.  Crossover
 injects whole well-filled bins of one parent into the other, drops the bins that
-hold duplicates, and best-fits the displaced pieces.  After each epoch every
+hold duplicates, and best-fits the displaced pieces.  Mutations break up the worst bin with some others that are not full and give
+each bin the subset of their pieces that fills it best; they are kept unless the bins get worse.  After each epoch every
 island's elite migrates to the next island of its ring.  Bins that stay badly
 filled are broken up and their pieces packed again together with those of
 other blocks.
 
 Edge cases: null text counts as empty, an empty text is one piece of length 1
-(the end id); texts over the capacity are cut into full pieces after a shorter
-first one; repeated rows are packed as separate documents, even with one id; an
-empty table gives no rows; other columns are ignored.
+(the end id); texts over the capacity, however long, are cut into full pieces after a shorter
+first one; pieces of equal length go in the order of reading; repeated rows are packed as separate documents, even with one id; an
+empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_as_text, id_restored, materialize
+from .common import TEXT_ROWS, id_as_text, id_restored, materialize
 
 CAPACITY = 1024
 END_ID = 2
@@ -37,8 +38,14 @@ TOKENIZER = "byte_bpe_50k"
 BLOCK = 2048
 ISLANDS = 2
 EPOCHS = 2
-GENERATIONS = 6
-POPULATION = 4
+GENERATIONS = 3
+POPULATION = 3
+#: Mutations of the best grouping in a generation (of the child: a quarter), and the bins that each one breaks up beside the worst.
+MUTATIONS = 30
+POOL = 10
+#: Rows (a block on an island) of a task.
+TASK_ROWS = 4
+MOST_TASKS = 100_000
 #: Bins with more free tokens than this are broken up after the first round.
 SLACK = 8
 
@@ -109,7 +116,7 @@ def crossover(a: tuple, b: tuple, lengths: np.ndarray, capacity: int, rng: np.ra
         return a
     chosen = rng.permutation(full)[: max(1, len(full) // 2)]
     taken = np.zeros(len(lengths), bool)
-    bins = []
+    bins: list[list[int]] = []
     for i in chosen:
         taken[b[0][i]] = True
         bins.append(list(b[0][i]))
@@ -126,14 +133,50 @@ def crossover(a: tuple, b: tuple, lengths: np.ndarray, capacity: int, rng: np.ra
     return bins, fill
 
 
-def mutate(a: tuple, lengths: np.ndarray, capacity: int, rng: np.random.Generator) -> tuple:
-    """Breaks up the worst-filled bins and a few random ones, and best-fits their pieces."""
-    worst = sorted(range(len(a[1])), key=lambda i: a[1][i])[: max(2, len(a[1]) // 20)]
-    gone = set(worst) | set(rng.integers(0, len(a[1]), 2).tolist())
-    bins = [list(g) for i, g in enumerate(a[0]) if i not in gone]
-    fill = [f for i, f in enumerate(a[1]) if i not in gone]
-    loose = sorted((i for g in gone for i in a[0][g]), key=lambda i: (-lengths[i], i))
-    best_fit(lengths, loose, bins, fill, capacity)
+def fullest(lengths: list[int], items: list[int], capacity: int) -> list[int]:
+    """The first of the items and the subset of the others that fills the capacity best: sums that can be reached are the bits of a number."""
+    room = capacity - lengths[items[0]]
+    mask, full = (1 << (room + 1)) - 1, 1 << room
+    sums, reach = [1], 1
+    for i in items[1:]:
+        if reach & full:
+            break
+        reach |= (reach << lengths[i]) & mask
+        sums.append(reach)
+    left, out = reach.bit_length() - 1, [items[0]]
+    for k in range(len(sums) - 1, 0, -1):
+        if not sums[k - 1] >> left & 1:  # only with the k-th item
+            out.append(items[k])
+            left -= lengths[items[k]]
+    return out
+
+
+def mutate(a: tuple, lengths: list[int], capacity: int, rng: np.random.Generator, times: int) -> tuple:
+    """Breaks up the worst bin and some that are not full, and gives each new bin what fills it best; a change is kept unless it makes bins more or more even."""
+    bins, fill = list(a[0]), list(a[1])
+    floor = -(-sum(fill) // capacity)
+    for step in range(times):
+        if len(bins) <= floor:
+            break
+        worst = fill.index(min(fill))
+        if step % 8 == 0:
+            others = [i for i, f in enumerate(fill) if f < capacity]
+        picks = rng.random(POOL + 2).tolist()
+        gone = {worst, *(others[int(x * len(others))] for x in picks[2:]), *(int(x * len(bins)) for x in picks[:2])}
+        gone = [g for g in gone if g < len(bins)]
+        left, new, filled = sorted((i for g in gone for i in bins[g]), key=lambda i: (-lengths[i], i)), [], []
+        while left:
+            new.append(fullest(lengths, left, capacity))
+            filled.append(sum(lengths[i] for i in new[-1]))
+            used = set(new[-1])
+            left = [i for i in left if i not in used]
+        if len(new) > len(gone) or (len(new) == len(gone) and sum(f * f for f in filled) < sum(fill[g] ** 2 for g in gone)):
+            continue
+        for g, group, f in zip(gone, new, filled, strict=False):
+            bins[g], fill[g] = group, f
+        for g in sorted(gone[len(new) :], reverse=True):
+            del bins[g], fill[g]
+            others = [i for i, f in enumerate(fill) if f < capacity]
     return bins, fill
 
 
@@ -157,19 +200,36 @@ def evolve(lengths: np.ndarray, migrants: list[np.ndarray], seed: int, capacity:
         best_fit(lengths, sorted(range(n), key=lambda i: (-keys[i], i)), bins, fill, capacity)
         population.append((bins, fill))
     score = lambda g: fitness(g[1], capacity)
-    floor = -(-int(lengths.sum()) // capacity)
+    floor, sizes = -(-int(lengths.sum()) // capacity), lengths.tolist()
     population.sort(key=score, reverse=True)
     for _ in range(generations):
         if len(population[0][1]) <= floor:
             break
-        i, j = rng.integers(0, len(population), 2)
-        child = mutate(crossover(population[0] if i == j else population[i], population[j], lengths, capacity, rng), lengths, capacity, rng)
+        other = population[int(rng.integers(1, len(population)))]
+        child = mutate(crossover(population[0], other, lengths, capacity, rng), sizes, capacity, rng, MUTATIONS // 4)
+        population[0] = mutate(population[0], sizes, capacity, rng, MUTATIONS)
         if score(child) > score(population[-1]):
             population[-1] = child
             population.sort(key=score, reverse=True)
     return encode(population[0][0], n)
 
 
+#: A block is named by its partition and its number there, and a sequence by its block and its bin there: 24, 24 and 15 bits.
+BLOCK_BITS = 24
+BIN_BITS = 15
+
+
+def block_id(partition: int, number: int) -> int:
+    if number >> BLOCK_BITS or partition >> 24:
+        raise ValueError("too many blocks for a long; use smaller partitions of the input")
+    return partition << BLOCK_BITS | number
+
+
+def sequence_ids(block: int, genome: np.ndarray) -> np.ndarray:
+    """Ids of a block's bins; those of different blocks differ (blocks of the second round are negative)."""
+    return np.int64(block) * (1 << BIN_BITS) + genome
+
+
 def tokenize_blocks(capacity: int, end_id: int, tokenizer: str, block: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode_text = encoder(tokenizer)
@@ -179,7 +239,7 @@ def tokenize_blocks(capacity: int, end_id: int, tokenizer: str, block: int):
 
         def flush() -> pd.DataFrame:
             columns = [list(c) for c in zip(*rows, strict=True)]
-            return pd.DataFrame({"block": [(part << 32) + done], **{k: [v] for k, v in zip(("doc_id", "piece", "start", "length", "ids_crc32"), columns, strict=True)}})
+            return pd.DataFrame({"block": [block_id(part, done)], **{k: [v] for k, v in zip(("doc_id", "piece", "start", "length", "ids_crc32"), columns, strict=True)}})
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -189,7 +249,7 @@ def tokenize_blocks(capacity: int, end_id: int, tokenizer: str, block: int):
                     rows.append((doc_id, piece, start, length, zlib.crc32(ids[start : start + length].tobytes())))
                     start += length
                     small += length < capacity
-                    if small >= block or len(rows) >= 8 * block:
+                    if small >= block or len(rows) >= min(8 * block, 1 << BIN_BITS):
                         yield flush()
                         done, small, rows = done + 1, 0, []
         if rows:
@@ -214,13 +274,14 @@ def islands_evolve(blocks: DataFrame, capacity: int, islands: int, epochs: int,
         return run
 
     state = blocks.select("block", "lengths", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"))
-    state = state.withColumn("genome", F.lit(None).cast("array<int>")).withColumn("guest", F.lit(None).cast("array<int>")).repartition("block", "island")
+    tasks = min(MOST_TASKS, max(1, -(-blocks.count() * islands // TASK_ROWS)))  # rows are small but take long, so their bytes must not decide
+    state = state.withColumn("genome", F.lit(None).cast("array<int>")).withColumn("guest", F.lit(None).cast("array<int>")).repartition(tasks, "block", "island")
     ring = Window.partitionBy("block").orderBy("island")
     for number in range(epochs):
         state = state.mapInPandas(epoch(number), "block long, island int, lengths array<int>, genome array<int>")
         if number + 1 < epochs:
             around = F.coalesce(F.lag("genome").over(ring), F.last("genome").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-            state = state.withColumn("guest", around).repartition("block", "island")
+            state = state.withColumn("guest", around).repartition(tasks, "block", "island")
     bins = F.array_max("genome") + 1
     ranked = state.withColumn("bins", bins)
     return ranked.groupBy("block").agg(F.min_by("genome", F.struct("bins", "island")).alias("genome"))
@@ -229,7 +290,7 @@ def islands_evolve(blocks: DataFrame, capacity: int, islands: int, epochs: int,
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, block: int = BLOCK) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): every piece's place in sequences of at most capacity tokens."""
     kind = id_as_text(docs.select("doc_id", "text")).mapInPandas(tokenize_blocks(capacity, end_id, tokenizer, block), BLOCKS)
-    blocks = materialize(kind, "pack-blocks")
+    blocks = materialize(kind, "pack-blocks", arrow_rows=TEXT_ROWS)
     first = place(blocks, capacity)
     first = materialize(first, "pack-first")
     room = F.lit(capacity) - F.col("filled")
@@ -262,7 +323,7 @@ def place(blocks: DataFrame, capacity: int) -> DataFrame:
                 out = pd.DataFrame({c: np.asarray(getattr(row, c))[order] for c in fields})
                 out["at"] = order
                 out["block"] = row.block
-                out["sequence_id"] = row.block * (1 << 16) + genome[order]
+                out["sequence_id"] = sequence_ids(row.block, genome[order])
                 out["offset"] = ends - length[order] - base
                 out["filled"] = np.bincount(genome, length).astype(np.int64)[genome[order]]
                 yield out

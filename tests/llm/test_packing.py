@@ -74,10 +74,52 @@ def test_same_ids_as_tokenizers():
     assert packing.encoder()(text.replace("<|endoftext|>", "")) == tokens_of({0: text.replace("<|endoftext|>", "")})[0][:-1].tolist()
 
 
-def test_crossover_keeps_every_piece():
+def test_crossover_and_mutation_keep_every_piece():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 1024, 200)
     parents = [packing.decode(packing.evolve(lengths, [], s, 1024, 0), lengths) for s in (0, 1)]
     for _ in range(10):
-        bins, fill = packing.mutate(packing.crossover(*parents, lengths, 1024, rng), lengths, 1024, rng)
+        bins, fill = packing.mutate(packing.crossover(*parents, lengths, 1024, rng), lengths.tolist(), 1024, rng, 5)
         assert sorted(i for b in bins for i in b) == list(range(200)) and max(fill) <= 1024 and fill == [int(lengths[b].sum()) for b in bins]
+
+
+def test_the_fullest_subset_is_the_best():
+    from itertools import combinations
+
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        lengths = sorted(rng.integers(1, 60, 9).tolist(), reverse=True)
+        got = packing.fullest(lengths, list(range(9)), 100)
+        sums = [sum(lengths[i] for i in c) + lengths[0] for k in range(9) for c in combinations(range(1, 9), k)]
+        assert got[0] == 0 and len(set(got)) == len(got) and sum(lengths[i] for i in got) == max(x for x in sums if x <= 100)
+
+
+def test_evolution_beats_best_fit():
+    """Blocks on which best fit decreasing leaves bins above the floor: islands, crossover and mutation save some, and more than no generations do."""
+    rng = np.random.default_rng(11)
+    saved = []
+    for _ in range(6):
+        lengths = rng.integers(150, 700, 400)
+        bins, fill = [], []
+        packing.best_fit(lengths, sorted(range(400), key=lambda i: (-lengths[i], i)), bins, fill, 1024)
+        genomes = [packing.evolve(lengths, [], s, 1024, packing.GENERATIONS) for s in range(2)]
+        genomes = [packing.evolve(lengths, [genomes[i], genomes[1 - i]], 100 + i, 1024, packing.GENERATIONS) for i in range(2)]
+        best = min(int(g.max()) + 1 for g in genomes)
+        assert -(-int(lengths.sum()) // 1024) <= best <= len(bins)
+        saved.append(len(bins) - best)
+    assert sum(saved) >= 6
+
+
+def test_ids_of_many_partitions():
+    """Sequences of partition 40,000 and beyond fit a long, and none is named twice."""
+    found = set()
+    for part in (0, 1, 40_000, (1 << 24) - 1):
+        for number in (0, 7, (1 << 24) - 1):
+            ids = packing.sequence_ids(packing.block_id(part, number), np.array([0, 5, (1 << 15) - 1]))
+            assert ids.dtype == np.int64 and (ids >= 0).all()
+            found.update(ids.tolist())
+    for block in (-1, -10_000):
+        found.update(packing.sequence_ids(block, np.array([0, 5, (1 << 15) - 1])).tolist())
+    assert len(found) == 3 * (12 + 2)
+    with pytest.raises(ValueError):
+        packing.block_id(1 << 24, 0)
