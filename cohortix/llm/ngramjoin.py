@@ -10,19 +10,23 @@ by brute force on sketches; larger ones link their classes to a leader where the
 sketches agree.  If few classes are then outside a node's largest component, they are
 compared with all of the node; otherwise the node chooses again.  RUNS
 runs are repeated: a pair at the threshold is together in one of a run's nodes at
-depth FIRST_DEPTH with a probability of 0.72 or more, so RUNS miss it with less than 1e-5, and the nodes that
+depth FIRST_DEPTH with a probability of 0.72 or more.  Larger nodes below choose twice as many coordinates, which keeps it
+above 0.66 at the last depth, so RUNS miss it with less than 3e-5, and the nodes that
 are still large at the last depth are compared in blocks, without a cap.
 
 The brute force of a node emits a spanning star of its candidate pairs, not the
 pairs.  Connected components of candidates are then verified on the exact
-shingle sets: all pairs of a component, in blocks, so a pair that no node held
+shingle sets: all pairs of a component, in blocks of bounded bytes, so a pair that no node held
 is found too if its documents hang together in any way.  What comes out per
 document is its class (the component of verified links) and its number of links.
+Where only classes are asked for (``one_of_each``), a component's blocks are first compared within themselves and with
+one leader, and only what is still apart is compared with the rest.
 
 Edge cases: a text of 1 to N-1 words has one shingle, all its words; a null,
 empty or blank text has none, no link, and a class of its own; a document's
-copies (equal sets) are links; repeated rows count as copies; an empty table
-gives no rows; other columns are ignored.
+copies (equal sets) are links; repeated rows count as copies; rows without an id have classes and links like others, and a class of
+nothing else has a null name; of tied names the least id is taken; very long texts are compared whole, and blocks hold fewer of
+them; an empty table gives no rows; other columns, whatever their names, are ignored (and kept by ``one_of_each``).
 """
 
 from __future__ import annotations
@@ -32,10 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_as_text, id_restored, materialize, may_contain
+from .common import TEXT_ROWS, discard, id_as_text, id_restored, materialize, may_contain
 from .graph import components
 
 N = 5
@@ -45,10 +49,16 @@ RUNS = 10
 FIRST_DEPTH = 2
 LIMIT = 512
 DEPTH = 4
-#: Sketches that agree in less than this are no candidates: more than four deviations (0.035) below the threshold.
-CANDIDATE = 0.65
-#: Classes of a component that are verified against as many others in one task.
+#: Sketches that agree in less than this are no candidates: more than five deviations (0.035) below the threshold.
+CANDIDATE = 0.6
+#: Classes of a component, and shingles of these, that are verified against as many others in one task (a single class may have more shingles).
 BLOCK = 1024
+BLOCK_SHINGLES = 500_000
+#: Components of more classes than this are dealt to several blocks, so that several tasks share them.
+PART = 256
+PARTS = 8
+#: Rows of a matrix of links that are worked on at once.
+ROWS = 256
 SEED = 20
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -93,21 +103,32 @@ def set_key(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def named_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, rep): rep names a row by its id and text, also where the id is null or repeated."""
+    return docs.select("doc_id", "text", row_name())
+
+
+def row_name() -> Column:
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).alias("rep")
+
+
 def profile(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, sketch): key names the shingle set (null if empty), sketch holds its minimum hashes."""
+    """(doc_id, rep, key, size, sketch) of named rows: key names the shingle set (null if empty), size counts it, sketch holds its minimum hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = multipliers(COORDINATES)
         for batch in batches:
             for low in range(0, len(batch), 1000):
                 part = batch.iloc[low : low + 1000]
-                sets = [shingles(t) for t in part["text"]]
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].values, "key": [set_key(s) if len(s) else None for s in sets],
-                    "sketch": [minimum_hashes(s, a, b).tobytes() if len(s) else None for s in sets],
-                })
+                keys, sizes, sketches = [], [], []
+                for t in part["text"]:
+                    s = shingles(t)
+                    keys.append(set_key(s) if len(s) else None)
+                    sizes.append(len(s))
+                    sketches.append(minimum_hashes(s, a, b).tobytes() if len(s) else None)
+                yield pd.DataFrame({"doc_id": part["doc_id"].values, "rep": part["rep"].values, "key": keys, "size": sizes, "sketch": sketches})
 
-    return id_restored(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, key binary, sketch binary"), docs)
+    return id_restored(id_as_text(docs).mapInPandas(run, "doc_id string, rep long, key binary, size long, sketch binary"), docs)
 
 
 def chosen(node: int, threshold: float, step: int = 0) -> np.ndarray:
@@ -148,7 +169,7 @@ def first_nodes(threshold: float, runs: int):
 
 
 def children(threshold: float):
-    """Maps (node, key, sketch) to (node, key) of the node's children."""
+    """Maps (node, key, sketch) to (node, key) of the node's children, by twice as many coordinates as the first levels choose."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -157,7 +178,7 @@ def children(threshold: float):
             sketch = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, COORDINATES)
             keys = batch["key"].to_numpy()
             for parent, rows in batch.groupby("node").indices.items():
-                for c in chosen(int(parent), threshold):
+                for c in chosen(int(parent), threshold / 2):
                     name = child_names(np.array([parent], np.int64).view(np.uint64), int(c), sketch[rows, c])
                     yield pd.DataFrame({"node": name.view(np.int64), "key": keys[rows]})
 
@@ -230,11 +251,12 @@ def candidate_edges(classes: DataFrame, threshold: float = THRESHOLD, runs: int
     sketches = classes.select("key", "sketch")
     smalls = classes.select(F.col("key").alias("k"), "small")
     nodes = materialize(sketches.mapInPandas(first_nodes(threshold, runs), "node long, key binary"), "nodes")
-    edges = None
+    edges, old = None, []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("node", "m")
         sized = nodes.join(sizes, F.col("node") == F.col("m")).select("node", "key", "n")
         sized = materialize(sized.join(smalls, F.col("key") == F.col("k")).drop("k"), "sized")
+        discard(nodes)
         leaf = sized.filter(F.col("n") <= LIMIT).select("node", "key", "small").repartition("node").sortWithinPartitions("node", "key")
         found = leaf.mapInPandas(compare_nodes(CANDIDATE), "a binary, b binary")
         large = sized.filter(F.col("n") > LIMIT)
@@ -242,20 +264,28 @@ def candidate_edges(classes: DataFrame, threshold: float = THRESHOLD, runs: int
         if some:
             found = found.unionByName(led(large))
         edges = materialize(found if edges is None else edges.unionByName(found), "candidates")
+        discard(*old)
         if not some:
+            discard(sized)
             return edges
         roots = materialize(components(edges), "roots")
+        discard(edges)
         edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a != b")
         large = large.join(roots.withColumnRenamed("node", "k"), F.col("key") == F.col("k"), "left").withColumn("root", F.coalesce("root", "key"))
         large = materialize(apart(large.select("node", "key", "small", "n", "root")), "large")
+        discard(sized)
         edges = materialize(edges.unionByName(strays_against_all(large.filter(F.col("strays") <= LIMIT // 2))), "candidates")
+        discard(roots)
+        old = [edges, large]
         large = large.filter(F.col("strays") > LIMIT // 2)
         if large.isEmpty():
             return edges
         if depth < DEPTH:
             rows = large.select("node", F.col("key").alias("k")).join(sketches, F.col("k") == F.col("key")).select("node", "key", "sketch")
             nodes = materialize(rows.mapInPandas(children(threshold), "node long, key binary"), "nodes")
-    return materialize(edges.unionByName(in_blocks(large)), "candidates")
+    out = materialize(edges.unionByName(in_blocks(large)), "candidates")
+    discard(*old)
+    return out
 
 
 def apart(large: DataFrame) -> DataFrame:
@@ -315,7 +345,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     out = np.zeros((n, n), np.float32)
-    total, step = int(shared.sum()), max(256, (1 << 23) // n)
+    total, step = int(shared.sum()), max(256, (1 << 22) // n)
     for low in range(0, total, step):
         i, j = np.searchsorted(column, (low, low + step))
         matrix = np.zeros((n, min(step, total - low)), np.float32)
@@ -325,8 +355,23 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Matrix of the links between different sets, worked out some rows at a time."""
+    common = intersections(sets)
+    sizes = np.array([len(s) for s in sets], np.float64)
+    out = np.empty(common.shape, bool)
+    for low in range(0, len(sets), ROWS):
+        c = common[low : low + ROWS].astype(np.float64)
+        out[low : low + ROWS] = c >= threshold * (sizes[low : low + ROWS, None] + sizes[None, :] - c) - 1e-9
+    np.fill_diagonal(out, False)
+    return out
+
+
+VERIFIED = "key binary, links long, linked long, root binary, in_parts boolean"
+
+
 def verify(threshold: float):
-    """Maps sorted rows (task, own, low, high, count, key, copies, text) to (key, links, linked, root, in_parts): counts over the pairs of the task's two blocks."""
+    """Maps sorted rows (task, own, low, high, count, key, copies, text) to VERIFIED: counts over the pairs of the task's two blocks (over all of its pairs if low = high), and the least key of each one's connected part."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(batches, "task"):
@@ -335,71 +380,144 @@ def verify(threshold: float):
                 seen = set()
                 for i, (key, text) in enumerate(zip(rows["key"], rows["text"], strict=True)):
                     s = shingles(text)
-                    if key not in seen and set_key(s) == key:  # a repeated id may carry another text
+                    if key not in seen and set_key(s) == key:
                         seen.add(key)
                         sets.append(s)
                         index.append(i)
                 if len(sets) < 2:
                     continue
-                rows = rows.iloc[index]
-                sizes = np.array([len(s) for s in sets], np.float64)
-                common = intersections(sets).astype(np.float64)
-                link = common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-9
-                np.fill_diagonal(link, False)
+                rows = rows.iloc[index].drop(columns="text")
+                link = linked(sets, threshold)
                 own, low, high = (rows[c].to_numpy() for c in ("own", "low", "high"))
                 if low[0] != high[0]:  # pairs within a block belong to that block's own task
                     link &= own[:, None] != own[None, :]
-                full = link | np.eye(len(sets), dtype=bool)
-                label = least_labels(full[None])[0]
+                links, copies = link.sum(axis=1), link @ rows["copies"].to_numpy()
+                np.fill_diagonal(link, True)
                 keys = rows["key"].to_numpy()
-                yield pd.DataFrame({"key": keys, "links": link.sum(axis=1), "linked": link @ rows["copies"].to_numpy(), "root": keys[label], "in_parts": rows["count"].to_numpy() > 1})
+                yield pd.DataFrame({"key": keys, "links": links, "linked": copies, "root": keys[least_labels(link[None])[0]], "in_parts": rows["count"].to_numpy() > 1})
 
     return run
 
 
+def class_table(profiles: DataFrame) -> DataFrame:
+    """(key, first, copies, size, sketch, small): one row per shingle set; first has the least id and the name of its row."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "rep"))
+    classes = profiles.filter("key IS NOT NULL").groupBy("key").agg(first.alias("first"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    low_bytes = F.pandas_udf(lambda s: s.map(lambda x: np.frombuffer(x, np.uint32).astype(np.uint8).tobytes()), "binary")
+    return materialize(classes.withColumn("small", low_bytes("sketch")), "classes")
+
+
+def members_with_texts(docs: DataFrame, classes: DataFrame, threshold: float, runs: int) -> DataFrame:
+    """(root, key, copies, count, own, text): the classes that have candidates, each dealt to one of its component's ``count`` blocks, with a text."""
+    edges = candidate_edges(classes, threshold, runs)
+    grouped = components(edges)
+    members = grouped.join(classes.select("key", "first.rep", "copies", "size"), F.col("node") == F.col("key")).select("root", "key", "rep", "copies", "size")
+    members = materialize(members, "members")
+    discard(edges)
+    n = F.count("*")
+    count = F.greatest(F.ceil(n / BLOCK), F.least(F.lit(PARTS), F.ceil(n / PART)), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    sizes = members.groupBy("root").agg(count.cast("int").alias("count")).withColumnRenamed("root", "r")
+    dealt = members.join(sizes, F.col("root") == F.col("r")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("count")).cast("int"))
+    texts = docs.filter(may_contain(members.select("rep"), F.col("rep"))).select("rep", "text").dropDuplicates(["rep"])
+    out = materialize(dealt.join(texts, "rep").select("root", "key", "copies", "count", "own", "text"), "members-texts")
+    discard(members)
+    return out
+
+
+def verified(tasks: DataFrame, threshold: float) -> DataFrame:
+    rows = tasks.select("task", "own", "low", "high", "count", "key", "copies", "text").repartition("task").sortWithinPartitions("task", "key")
+    return materialize(rows.mapInPandas(verify(threshold), VERIFIED), "verified", arrow_rows=TEXT_ROWS)
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """A task for each pair of blocks of a component."""
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    return dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).withColumn("task", F.xxhash64("root", "low", "high"))
+
+
+def whole_block(task: Column) -> list[Column]:
+    return [F.lit(0).alias("low"), F.lit(0).alias("high"), task.alias("task")]
+
+
+def connected(members: DataFrame, threshold: float) -> DataFrame:
+    """(node, root): the connected parts of verified links, without their counts.
+
+    Each block is compared within itself and with the component's leader, which settles most. What is then not in the component's
+    largest part is compared with all blocks, or all blocks with each other if it is more than half a block.
+    """
+    leaders = members.groupBy("root").agg(F.min("key").alias("leader")).withColumnRenamed("root", "r")
+    led = members.join(leaders, F.col("root") == F.col("r")).withColumn("at", F.explode(F.when(F.col("key") == F.col("leader"), F.sequence(F.lit(0), F.col("count") - 1)).otherwise(F.array("own"))))
+    first = verified(led.select("*", *whole_block(F.xxhash64("root", "at"))), threshold)
+    settled = first.filter("NOT in_parts").select(F.col("key").alias("node"), "root")
+    edges = first.filter("in_parts").select(F.col("key").alias("a"), F.col("root").alias("b"))
+    parts = components(edges).select(F.col("node").alias("k"), F.col("root").alias("part"))
+    rows = members.filter("count > 1").join(parts, F.col("key") == F.col("k"), "left").withColumn("part", F.coalesce("part", "key")).drop("k")
+    sizes = rows.groupBy("root", "part").agg(F.count("*").alias("n"))
+    bulk = sizes.groupBy(F.col("root").alias("r")).agg(F.max_by("part", F.struct("n", "part")).alias("bulk"), (F.sum("n") - F.max("n")).alias("strays")).filter("strays > 0")
+    rest = materialize(rows.join(bulk, F.col("root") == F.col("r")).drop("r"), "rest")
+    if rest.isEmpty():
+        return settled.unionByName(components(edges))
+    few = rest.filter(F.col("strays") <= BLOCK // 2)
+    few = few.withColumn("at", F.explode(F.when(F.col("part") != F.col("bulk"), F.sequence(F.lit(0), F.col("count") - 1)).otherwise(F.array("own"))))
+    again = verified(few.select("*", *whole_block(F.xxhash64("root", "at"))), threshold).unionByName(verified(block_pairs(rest.filter(F.col("strays") > BLOCK // 2)), threshold))
+    return settled.unionByName(components(edges.unionByName(again.select(F.col("key").alias("a"), F.col("root").alias("b")))))
+
+
 def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> DataFrame:
     """(doc_id, class_id, n_links, n_text_links): the class of each document and how many others it links to.
 
-    class_id: the least doc_id of the connected component; n_links counts documents with a similarity of threshold or
-    more, copies included; n_text_links counts different shingle sets. A row without an id has no class and no links.
+    class_id: the least doc_id of the connected component (null if none of it has an id); n_links counts documents with a similarity of threshold or
+    more, copies included; n_text_links counts different shingle sets.
     """
-    nameless = docs.filter("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"))
-    docs = docs.filter("doc_id IS NOT NULL")
-    profiles = materialize(profile(docs), "profiles")
-    classes = profiles.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
-    low_bytes = F.pandas_udf(lambda s: s.map(lambda x: np.frombuffer(x, np.uint32).astype(np.uint8).tobytes()), "binary")
-    classes = materialize(classes.withColumn("small", low_bytes("sketch")), "classes")
-    grouped = components(candidate_edges(classes, threshold, runs))
-    members = grouped.join(classes.select("key", "first_id", "copies"), F.col("node") == F.col("key")).select("root", "key", "first_id", "copies")
-    members = materialize(members, "members")
-    sizes = members.groupBy("root").agg(F.count("*").alias("n")).withColumn("count", F.ceil(F.col("n") / BLOCK).cast("int")).select(F.col("root").alias("r"), "count")
-    dealt = members.join(sizes, F.col("root") == F.col("r")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("count")).cast("int"))
-    texts = docs.select(F.col("doc_id").alias("first_id"), "text")
-    texts = texts.filter(may_contain(members.select("first_id"), F.col("first_id")))
-    dealt = dealt.join(texts, "first_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-    dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).withColumn("task", F.xxhash64("root", "low", "high"))
-    columns = ["task", "own", "low", "high", "count", "key", "copies", "text"]
-    verified = dealt.select(*columns).repartition("task").sortWithinPartitions("task", "key").mapInPandas(verify(threshold), "key binary, links long, linked long, root binary, in_parts boolean")
-    verified = materialize(verified, "verified")
-    counts = verified.groupBy("key").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked"))
+    docs = named_rows(docs)
+    profiles = materialize(profile(docs), "profiles", arrow_rows=TEXT_ROWS)
+    classes = class_table(profiles)
+    members = members_with_texts(docs, classes, threshold, runs)
+    found = verified(block_pairs(members), threshold)
+    discard(members)
+    counts = found.groupBy("key").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked"))
     # the star of a component that one task has seen whole is final
-    settled = verified.filter("NOT in_parts").select(F.col("key").alias("node"), "root")
-    merged = components(verified.filter("in_parts").select(F.col("key").alias("a"), F.col("root").alias("b")))
-    final = settled.unionByName(merged)
-    roots = classes.select("key", "first_id", "copies").join(final, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key"))
-    roots = materialize(roots, "roots")
-    names = materialize(roots.groupBy("root").agg(F.min("first_id").alias("class_id")).withColumnRenamed("root", "r"), "names")
+    settled = found.filter("NOT in_parts").select(F.col("key").alias("node"), "root")
+    merged = components(found.filter("in_parts").select(F.col("key").alias("a"), F.col("root").alias("b")))
+    roots = with_roots(classes, settled.unionByName(merged))
+    names = materialize(roots.groupBy("root").agg(F.min("first.doc_id").alias("class_id")).withColumnRenamed("root", "r"), "names")
     named = roots.join(names, F.col("root") == F.col("r")).join(counts.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
     named = named.select(F.col("key").alias("k"), "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"))
     # written tables on both sides of a join let a class with very many texts or copies be split among tasks
     named = materialize(named, "named")
+    discard(roots, names, found)
     out = profiles.select("doc_id", "key").join(named, F.col("key") == F.col("k"), "left")
-    out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"))
-    return out.unionByName(nameless)
+    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"))
+
+
+def with_roots(classes: DataFrame, final: DataFrame) -> DataFrame:
+    """(key, first, copies, root): the least key of every class's connected component, its own without a link."""
+    roots = classes.select("key", "first", "copies").join(final, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node")
+    return materialize(roots, "roots")
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose id names their class, one row each, with the columns of the input; rows without an id stay."""
-    kept = join(docs, threshold).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    found = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    return found.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    """One row of each class, that of the least id (of the least hash among equal ids and texts), with the columns of the input; texts without a shingle all stay.
+
+    Only rows that may go are shuffled: the others are told by a filter of fixed size, which has no false negatives.
+    """
+    name = "_cx_rep"
+    while name in docs.columns:
+        name += "_"
+    rows = named_rows(docs)
+    profiles = materialize(profile(rows), "profiles", arrow_rows=TEXT_ROWS)
+    classes = class_table(profiles)
+    members = members_with_texts(rows, classes, threshold, RUNS)
+    roots = with_roots(classes, connected(members, threshold))
+    kept = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rep").alias("kept"))
+    counts = profiles.filter("key IS NOT NULL").groupBy("rep").agg(F.count("*").alias("n"))
+    doubtful = counts.join(kept, F.col("rep") == F.col("kept"), "left").filter("kept IS NULL OR n > 1")
+    doubtful = materialize(doubtful.select(F.col("rep").alias("_r"), F.col("kept").isNotNull().alias("_keep")), "doubtful")
+    discard(members, roots, classes)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    named = docs.withColumn(name, row_name())
+    maybe = may_contain(doubtful.select("_r"), F.col(name))
+    asked = named.filter(maybe).select(F.struct(*columns).alias("row"), F.col(name).alias("rep"), F.xxhash64(*columns).alias("order"))
+    asked = asked.join(doubtful, F.col("rep") == F.col("_r"), "left").filter("_keep IS NULL OR _keep")
+    repeated = asked.filter("_keep").groupBy("rep").agg(F.min_by("row", "order").alias("row"))
+    return named.filter(~maybe).select(*columns).unionByName(asked.filter("_keep IS NULL").select("row.*")).unionByName(repeated.select("row.*"))

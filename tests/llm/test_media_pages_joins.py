@@ -39,6 +39,123 @@ def test_flac_finds_damage():
             flac.decode_streams([bytes(broken)])
 
 
+def put(bits, value, n):
+    bits += [value >> (n - 1 - i) & 1 for i in range(n)]
+
+
+def plain_frame(number, channels, kind, bits_code=1, bits=8, layout=None):
+    """A frame by a naive encoder: constant, verbatim, fixed or linear prediction, in partitions, with escapes or wide parameters."""
+    n, out = len(channels[0]), []
+    for value, width in ((0x3FFE, 14), (0, 2), (7, 4), (0, 4), (len(channels) - 1 if layout is None else layout, 4), (bits_code, 3), (0, 1), (number, 8), (n - 1, 16)):
+        put(out, value, width)
+    put(out, flac.crc8(packed(out)), 8)
+    for x in channels:
+        constant, raw, order, weights, shift, method, parts, escape = {"constant": (1, 0, 0, [], 0, 0, 1, 0), "verbatim": (0, 1, 0, [], 0, 0, 1, 0)}.get(kind) or (0, 0, *kind)
+        if constant:
+            put(out, 0, 8), put(out, x[0] % (1 << bits), bits)
+        elif raw:
+            put(out, 2, 8)
+            for v in x:
+                put(out, v % (1 << bits), bits)
+        else:
+            fixed = {0: [], 1: [1], 2: [2, -1], 3: [3, -3, 1], 4: [4, -6, 4, -1]}
+            put(out, (8 + order if weights is None else 31 + order) << 1, 8)
+            for v in x[:order]:
+                put(out, v % (1 << bits), bits)
+            if weights is not None:
+                put(out, 11, 4), put(out, shift, 5)
+                for w in weights:
+                    put(out, w % (1 << 12), 12)
+            w = fixed[order] if weights is None else weights
+            rest = [x[i] - (sum(a * x[i - 1 - j] for j, a in enumerate(w)) >> shift) for i in range(order, n)]
+            put(out, method, 2), put(out, parts.bit_length() - 1, 4)
+            width = 5 if method else 4
+            for p in range(parts):
+                own = rest[max(0, p * n // parts - order) : (p + 1) * n // parts - order]
+                if escape and p % 2 == 0:
+                    put(out, (1 << width) - 1, width), put(out, 20, 5)
+                    for v in own:
+                        put(out, v % (1 << 20), 20)
+                else:
+                    put(out, 3, width)
+                    for v in own:
+                        u = 2 * v if v >= 0 else -2 * v - 1
+                        out += [0] * (u >> 3) + [1]
+                        put(out, u & 7, 3)
+    out += [0] * (-len(out) % 8)
+    put(out, flac.crc16(packed(out)), 16)
+    return packed(out)
+
+
+def packed(bits):
+    return np.packbits(np.array(bits + [0] * (-len(bits) % 8), np.uint8)).tobytes()
+
+
+def plain_stream(frames, samples, channels=1, bits=8):
+    data = np.asarray(samples, "<i4").reshape(-1).view(np.uint8).reshape(-1, 4)[:, : (bits + 7) // 8].tobytes()
+    info = b"\x00\x40\x00\xc0" + bytes(6) + ((8000 << 44) | ((channels - 1) << 41) | ((bits - 1) << 36) | (len(samples))).to_bytes(8, "big") + hashlib.md5(data).digest()
+    return b"fLaC" + (0x80000000 | len(info)).to_bytes(4, "big") + info + b"".join(frames)
+
+
+def test_flac_of_other_encoders():
+    """Every kind of subframe, made by a second encoder, also in one batch with this one's streams; damage is found."""
+    rng = np.random.default_rng(2)
+    tone = [int(v) for v in np.round(90 * np.sin(np.arange(192) / 9) + rng.integers(-4, 5, 192))]
+    kinds = ["constant", "verbatim", *((o, None, 0, o % 2, 1 << o, 0) for o in range(5)), (2, (1900, -930), 10, 0, 4, 0), (3, (500, 400, 100), 10, 1, 2, 1), (1, None, 0, 0, 8, 1)]
+    for kind in kinds:
+        x = [tone[0]] * 192 if kind == "constant" else tone
+        stream = plain_stream([plain_frame(0, [x], kind), plain_frame(1, [x[:64]], kind)], x + x[:64])
+        assert flac.decode_any(stream)[0][:, 0].tolist() == x + x[:64], kind
+        own = flac.encode_streams([b"ab" * 96])[0]
+        payload = bytes(v + 128 for v in x + x[:64])
+        assert flac.decode_streams([own, stream]) == [b"ab" * 96, payload] and flac.decode_range(stream, 100, 120) == payload[100:220]
+        for at in (50, len(stream) - 1):
+            with pytest.raises(ValueError):
+                flac.decode_any(stream[:at] + bytes([stream[at] ^ 4]) + stream[at + 1 :])
+    other = [v // 2 + i % 7 for i, v in enumerate(tone)]
+    wide = [v * 200 for v in tone]
+    assert flac.decode_any(plain_stream([plain_frame(0, [wide], (2, None, 0, 1, 1, 1), 4, 16)], wide, bits=16))[0][:, 0].tolist() == wide
+    left = np.array([tone, other]).T
+    assert (flac.decode_any(plain_stream([plain_frame(0, [tone, other], (1, None, 0, 0, 1, 0))], left, 2))[0] == left).all()
+    small = [v // 2 for v in tone]
+    half = [v // 2 for v in other]
+    side, mid = [a - b for a, b in zip(small, half, strict=True)], [(a + b) >> 1 for a, b in zip(small, half, strict=True)]
+    both = np.array([small, half]).T
+    verbatim = lambda a, b: plain_stream_of_pair(a, b)
+    for layout, first, second in ((8, small, side), (9, side, half), (10, mid, side)):
+        assert (flac.decode_any(plain_stream([verbatim((first, 9 if layout == 9 else 8), (second, 8 if layout == 9 else 9))(layout)], both, 2))[0] == both).all()
+
+
+def plain_stream_of_pair(a, b):
+    """A verbatim frame of two channels of their own widths."""
+
+    def frame(layout):
+        out = []
+        for value, width in ((0x3FFE, 14), (0, 2), (7, 4), (0, 4), (layout, 4), (1, 3), (0, 1), (0, 8), (len(a[0]) - 1, 16)):
+            put(out, value, width)
+        put(out, flac.crc8(packed(out)), 8)
+        for x, bits in (a, b):
+            put(out, 2, 8)
+            for v in x:
+                put(out, v % (1 << bits), bits)
+        out += [0] * (-len(out) % 8)
+        put(out, flac.crc16(packed(out)), 16)
+        return packed(out)
+
+    return frame
+
+
+def test_sparse_seek_points(monkeypatch):
+    """Streams with more frames than a table holds have fewer points, and are decoded and sought all the same."""
+    rng = np.random.default_rng(4)
+    payload = rng.integers(0, 256, 192 * 50, dtype=np.uint8).tobytes()
+    monkeypatch.setattr(flac, "MOST_POINTS", 7)
+    stream = flac.encode_streams([payload])[0]
+    assert len(flac.parse(stream).points) == 7 and flac.decode_streams([stream]) == [payload]
+    for at, n in ((0, 1), (191, 400), (192 * 49, 192), (192 * 30 + 5, 9999)):
+        assert flac.decode_range(stream, at, n) == payload[at : at + n]
+
+
 def test_media_columns(spark, make_docs, odd_texts):
     docs = make_docs(odd_texts, extra=["media", "feature"])
     media = flac.to_media(docs)
@@ -49,6 +166,7 @@ def test_media_columns(spark, make_docs, odd_texts):
         r = out[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
     assert out[4].asDict() | {"doc_id": 0} == out[5].asDict() | {"doc_id": 0}
+    assert out[6]["n_blocks"] == -(-out[6]["payload_bytes"] // (64 * 192)) and out[6]["last_offset"] == (out[6]["n_blocks"] - 1) * 64 * 192
     blocks = {}
     for r in flac.pcm_blocks(media, frames=2).collect():
         blocks.setdefault(r["doc_id"], []).append((r["sample_offset"], r["pcm"]))
@@ -69,6 +187,8 @@ def test_article_of_a_page():
     assert blocks == ["Title 1", "One & two boldi", "a", "b", "x < y z", "last é"]
     wrapped = '<body class="no-header"><div class="page-wrapper has-sidebar"><main class="with-comments"><p>in</p></main><div class="sidebar"><p>out</p></div><article class="comment"><p>out</p></article></div>'
     assert [t for _, x, t in htmltext.parse(wrapped) if not x] == ["in"]
+    named = '<div class="social-studies">1</div><main><section class="legal">2</section><div id="comment-list">out</div><div class="related posts">out</div></main><div id="promotion-of-health">3</div><div class="reader-comments x">out</div><div class="site-header">out</div>'
+    assert [t for _, x, t in htmltext.parse(named) if not x] == ["1", "2", "3"]
     assert htmltext.parse("a < b <!-- open") == [((), False, "a < b")]
     assert [t for _, x, t in htmltext.parse('<div title="a>b">c</div><p class=ad>d</p>e') if not x] == ["c", "e"]
 
@@ -80,8 +200,8 @@ def test_extraction(spark):
     out = [(r["page_id"], r["text"], r["n_chars"]) for r in htmltext.extract(df).collect()]
     by = dict((i, t) for i, t, _ in out)
     assert len(out) == len(pages) and all(n == len(t) for _, t, n in out)
-    assert by[3] == "Title 3\ntext 3"  # what all pages of a host repeat is template
-    assert by[100] == "Title 9\nalone" and by[101] == by[102] == "" and by[103] == "bare"
+    assert by[3] == "Title 3\n\ntext 3"  # what all pages of a host repeat is template
+    assert by[100] == "Title 9\n\nalone" and by[101] == by[102] == "" and by[103] == "bare"
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
@@ -102,10 +222,10 @@ def test_copies_of_an_article_are_no_template(spark):
     pages += [(i, "http://same.example/", copy + f"<footer>{i}</footer>") for i in range(20, 30)]
     pages += [(i, "http://near.example/", f"<article><p>{'first' if i < 38 else i}</p><p>own {i}</p></article>") for i in range(30, 40)]
     out = {r["page_id"]: r["text"] for r in htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert {out[i] for i in range(12)} == {"Copied\nfirst\nsaid"}
-    assert [out[i] for i in range(12, 20)] == [f"Own {i}\ntext {i}" for i in range(12, 20)]  # the note has its own element, so it is a nested class
-    assert {out[i] for i in range(20, 30)} == {"Copied\nfirst\nsaid\nAll rights reserved"}
-    assert [out[i] for i in range(30, 40)] == [f"{'first' if i < 38 else i}\nown {i}" for i in range(30, 40)]
+    assert {out[i] for i in range(12)} == {"Copied\n\nfirst\n\nsaid"}
+    assert [out[i] for i in range(12, 20)] == [f"Own {i}\n\ntext {i}" for i in range(12, 20)]  # the note has its own element, so it is a nested class
+    assert {out[i] for i in range(20, 30)} == {"Copied\n\nfirst\n\nsaid\n\nAll rights reserved"}
+    assert [out[i] for i in range(30, 40)] == [f"{'first' if i < 38 else i}\n\nown {i}" for i in range(30, 40)]
 
 
 def test_text_beside_the_body_element_is_kept(spark):
@@ -113,7 +233,7 @@ def test_text_beside_the_body_element_is_kept(spark):
     texts = [f"long text {i} " * 40 for i in range(8)]
     df = spark.createDataFrame([(i, "http://h.example/", page.format(i=i, text=t)) for i, t in enumerate(texts)], "page_id long, url string, html string")
     out = {r["page_id"]: r["text"] for r in htmltext.extract(df).collect()}
-    assert [out[i] for i in range(8)] == [f"Title {i}\nlede {i}\n{t.strip()}" for i, t in enumerate(texts)]
+    assert [out[i] for i in range(8)] == [f"Title {i}\n\nlede {i}\n\n{t.strip()}" for i, t in enumerate(texts)]
 
 
 def jaccard(a, b):
@@ -173,11 +293,15 @@ def test_join_of_a_large_group(spark, make_docs, monkeypatch):
         copy[int(rng.integers(0, 80))] = f"y{i}"
         texts.append(" ".join(copy))
     texts += [" ".join(base[:70]) + " " + " ".join(f"z{i}{j}" for j in range(50)) for i in range(30)]
-    for name, value in (("LIMIT", 8), ("BLOCK", 16)):
-        monkeypatch.setattr(ngramjoin, name, value)
-    out = {r["doc_id"]: r for r in ngramjoin.join(make_docs(texts)).collect()}
     root, links = plain_join(texts)
-    assert [out[i]["class_id"] for i in range(len(texts))] == root and [out[i]["n_links"] for i in range(len(texts))] == links
+    docs = make_docs(texts)
+    for block, shingles in ((16, 10**6), (60, 10**6), (1024, 700)):  # many strays, few strays, blocks by bytes
+        for name, value in (("LIMIT", 8), ("BLOCK", block), ("BLOCK_SHINGLES", shingles)):
+            monkeypatch.setattr(ngramjoin, name, value)
+        if block == 16:
+            out = {r["doc_id"]: r for r in ngramjoin.join(docs).collect()}
+            assert [out[i]["class_id"] for i in range(len(texts))] == root and [out[i]["n_links"] for i in range(len(texts))] == links
+        assert {r["doc_id"] for r in ngramjoin.one_of_each(docs).collect()} == set(root)
 
 
 def test_repeated_rows_are_copies(spark, make_docs):
@@ -187,6 +311,16 @@ def test_repeated_rows_are_copies(spark, make_docs):
     assert ngramjoin.one_of_each(docs.unionByName(docs)).count() == 2
 
 
+def test_copies_without_an_id_are_linked(spark):
+    """Null ids keep their links; one id with two texts stands for both; blank rows all stay."""
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (5, "a b c d e f"), (5, "q r s t u v w"), (7, "q r s t u v w"), (None, "only here x y z"), (None, " "), (8, None)]
+    docs = spark.createDataFrame([(i, t, n % 3, str(n)) for n, (i, t) in enumerate(rows)], "doc_id long, text string, rep int, key string")
+    out = sorted((str(r["doc_id"]), str(r["class_id"]), r["n_links"]) for r in ngramjoin.join(docs).collect())
+    assert out == sorted([("None", "5", 2)] * 2 + [("5", "5", 2), ("5", "5", 1), ("7", "5", 1), ("None", "None", 0), ("None", "None", 0), ("8", "8", 0)])
+    kept = ngramjoin.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == sorted([("5", "a b c d e f"), ("5", "q r s t u v w"), ("None", "only here x y z"), ("None", " "), ("8", "None")])
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(int(a), int(b)) for a, b in rng.integers(100, 200, (60, 2))] + [(300, i) for i in range(301, 350)]
