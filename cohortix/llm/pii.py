@@ -13,9 +13,10 @@ Words before that are confident by themselves (LEAST_SEEDS distinct seeds of a k
 LEAST_CONFIDENCE of all seeds and failing places after the word) propose windows of any shape; they hold if they pass
 the stricter check of resembles().
 
-Edge cases: null text is an empty text, without spans; long texts are searched as
+Edge cases: null text is an empty text, without spans (and stays null when redacted); very long texts are searched as
 a whole, and the expressions cannot backtrack over a run of characters more than once; repeated rows give
-equal results; an empty table gives no rows; other columns are ignored (and kept by ``redact``).
+equal results; of added spans that begin together the one of a known shape, then the longest is taken; rows without an id are told apart by their
+text; an empty table gives no rows; other columns, whatever their names, are ignored (and kept by ``redact``).
 """
 
 from __future__ import annotations
@@ -155,9 +156,9 @@ def find(docs: DataFrame) -> DataFrame:
     ok = F.lit(False)
     for i, kind in enumerate(KINDS):
         ok = ok | ((F.col("kind") == i) & passes(kind, F.col("value")))
-    possible = materialize(candidates.join(shapes, "shape"), "pii-candidates")
+    possible = materialize(candidates.join(shapes.hint("merge"), "shape"), "pii-candidates")
     accepted = scored(seeds, possible.select("kind", "value", "shape", "before", ok.alias("checks")).distinct())
-    new = possible.filter(ok).join(accepted, ["kind", "value", "shape", "before"], "left_semi").withColumn("by", F.lit(0))
+    new = possible.filter(ok).join(accepted.hint("merge"), ["kind", "value", "shape", "before"], "left_semi").withColumn("by", F.lit(0))
     new = new.select("doc_id", "text_key", "by", "start", "stop", "kind", "value").unionByName(proposed(seeds, candidates))
     # of the windows that overlap, the first one holds, then one of a known shape, then the longest
     listed = new.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "by", (-F.col("stop")).alias("back"), "kind", "value"))).alias("new"))
@@ -169,6 +170,7 @@ def find(docs: DataFrame) -> DataFrame:
     )
     listed = listed.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), chosen.alias("added"))
     rows = found.select("doc_id", "text_key", "spans").distinct()
+    listed = listed.hint("merge")
     joined = rows.join(listed, rows["doc_id"].eqNullSafe(listed["d"]) & (rows["text_key"] == listed["k"]), "left")
     return joined.select("doc_id", "text_key", "spans", F.coalesce("added", F.array().cast(f"array<{SPAN}>")).alias("added"))
 
@@ -201,21 +203,22 @@ def proposed(seeds: DataFrame, candidates: DataFrame) -> DataFrame:
     failed = place.groupBy("before", "value").agg(*[F.bool_and(f"ok{i}").alias(f"ok{i}") for i in places])
     failed = failed.groupBy("before").agg(*[F.count_if(~F.col(f"ok{i}")).alias(f"failed{i}") for i in places])
     known = seeds.filter(F.col("before") != "").select("kind", "value", "before").distinct().groupBy("before").agg(F.count("*").alias("all"), *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in places])
-    words = known.join(failed.withColumnRenamed("before", "b"), F.col("before") == F.col("b"), "left")
+    words = known.join(failed.withColumnRenamed("before", "b").hint("merge"), F.col("before") == F.col("b"), "left")
     sure = [(F.col(f"n{i}") >= LEAST_SEEDS) & (F.col(f"n{i}") >= LEAST_CONFIDENCE * (F.col("all") + F.coalesce(f"failed{i}", F.lit(0)))) for i in places]
     kinds = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(sure)]), lambda k: k.isNotNull())
     words = words.select("before", F.explode(kinds).alias("kind"))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     fine = F.filter(F.array(*[F.when(F.col(f"ok{i}"), F.lit(i)) for i in places]), lambda k: k.isNotNull())
     passed = checked.select("doc_id", "text_key", "start", "stop", "value", "before", F.explode(fine).alias("kind")).withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
-    return passed.join(words.select("*", salts), ["before", "kind", "salt"], "left_semi").select("doc_id", "text_key", F.lit(1).alias("by"), "start", "stop", "kind", "value")
+    return passed.join(words.select("*", salts).hint("merge"), ["before", "kind", "salt"], "left_semi").select("doc_id", "text_key", F.lit(1).alias("by"), "start", "stop", "kind", "value")
 
 
 def scored(seeds: DataFrame, candidates: DataFrame) -> DataFrame:
     """Distinct candidates (kind, value, shape, before) that the scores of the pattern-instance graph accept."""
     nodes = seeds.select("kind", "value", "shape", "before", F.lit(True).alias("seed"), F.lit(1.0).alias("score"))
-    other = candidates.join(seeds.select("kind", "value").distinct(), ["kind", "value"], "left_anti").select("kind", "value", "shape", "before", F.lit(False).alias("seed"), F.lit(0.0).alias("score"), "checks")
-    again = candidates.join(seeds.select("kind", "value").distinct(), ["kind", "value"], "left_semi").select("kind", "value", "shape", "before")  # a known instance in another place
+    known = seeds.select("kind", "value").distinct().hint("merge")
+    other = candidates.join(known, ["kind", "value"], "left_anti").select("kind", "value", "shape", "before", F.lit(False).alias("seed"), F.lit(0.0).alias("score"), "checks")
+    again = candidates.join(known, ["kind", "value"], "left_semi").select("kind", "value", "shape", "before")  # a known instance in another place
     # a candidate that fails its kind's check speaks against its patterns
     graph = materialize(nodes.withColumn("checks", F.lit(True)).unionByName(other), "pii-graph")
     for _ in range(ROUNDS):
@@ -223,7 +226,7 @@ def scored(seeds: DataFrame, candidates: DataFrame) -> DataFrame:
         by_word = graph.groupBy("kind", "before").agg(F.avg("score").alias("word_conf"))
         salted = graph.drop("shape_conf", "n_seeds").withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
         salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
-        joined = salted.join(by_shape.select("*", salts), ["kind", "shape", "salt"]).join(by_word.select("*", salts), ["kind", "before", "salt"])
+        joined = salted.join(by_shape.select("*", salts).hint("merge"), ["kind", "shape", "salt"]).join(by_word.select("*", salts).hint("merge"), ["kind", "before", "salt"])
         score = F.when(~F.col("checks"), 0.0).otherwise(1 - (1 - F.col("shape_conf")) * (1 - F.col("word_conf") / 2))
         joined = joined.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(score))
         graph = materialize(joined.select("kind", "value", "shape", "before", "seed", "score", "checks", "shape_conf", "n_seeds"), "pii-graph")
@@ -240,6 +243,7 @@ def detect(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every document; the counts and the digest are of the exact rules."""
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     found = find(docs.select("doc_id", "text")).withColumnRenamed("doc_id", "d").withColumnRenamed("text_key", "k")
+    found = found.hint("merge")
     joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["d"]) & (keyed["text_key"] == found["k"]), "left")
     none = F.array().cast(f"array<{SPAN}>")
     base, added = F.coalesce("spans", none), F.coalesce("added", none)
@@ -248,11 +252,16 @@ def detect(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents with every span replaced by its kind in capitals and brackets; other columns, rows and texts stay."""
-    found = find(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_pii_d"), F.col("text_key").alias("_pii_k"), all_spans(F.col("spans"), F.col("added")).alias("_pii_spans")).filter(F.size("_pii_spans") > 0)
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_pii_d"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_pii_k"]), "left")
+    """The documents with every span replaced by its kind in capitals and brackets; other columns, rows and texts stay.
+
+    Only rows that may have a span, those with a digit or an at-sign, are shuffled with their texts.
+    """
+    found = find(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_pii_d"), F.col("text_key").alias("_pii_k"), all_spans(F.col("spans"), F.col("added")).alias("_pii_spans")).filter(F.size("_pii_spans") > 0).hint("merge")
+    marked = F.coalesce("text", F.lit("")).rlike("[0-9@]")
+    asked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_pii_row"), F.col("doc_id").alias("_pii_id"), F.coalesce("text", F.lit("")).alias("_pii_text")).filter(F.col("_pii_text").rlike("[0-9@]"))
+    joined = asked.join(found, F.col("_pii_id").eqNullSafe(F.col("_pii_d")) & (F.xxhash64("_pii_text") == F.col("_pii_k")), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.col("text")
+    text = F.col("_pii_text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -262,4 +271,4 @@ def redact(docs: DataFrame) -> DataFrame:
 
     clean = F.aggregate("_pii_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     new = F.when(F.col("_pii_spans").isNotNull(), clean).otherwise(text)
-    return joined.select(*[new.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return docs.filter(~marked).unionByName(joined.select(*[new.alias(c) if c == "text" else F.col("_pii_row")[c].alias(c) for c in docs.columns]))
