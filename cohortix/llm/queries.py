@@ -71,7 +71,7 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL: dict[str, str] = {
     # documents in the order of the keyed hash; the water level of the targets from the sources in the order of their ratios
-    "op4_mixing": f"""WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS o FROM documents),
+    "op4_mixing": f"""WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS o FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS k FROM d GROUP BY source),
 w AS (SELECT *, CAST(CASE k % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS f FROM s),
 r AS (SELECT *, f / weight AS ratio, (sum(source_size) OVER () - coalesce(sum(f) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level FROM w
@@ -86,8 +86,10 @@ win AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5)
 keyed AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS k FROM win),
 again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM keyed) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT i + o) AS n_repeat_words FROM again, range(5) t(o) GROUP BY r),
-lines AS (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d),
-m AS (SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+lines AS (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM d),
+m AS (SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-
+]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) AS n_upper,
   length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclamations FROM d JOIN lines USING (r) LEFT JOIN rep USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT ({" OR ".join(f"({sql})" for _, sql in quality.RULES.values())}) AS kept FROM m""",

@@ -149,7 +149,47 @@ def test_mixing_targets_and_plan(spark, make_docs):
     mixed = mixing.mix_documents(docs)
     assert mixed.columns == docs.columns
     assert Counter(r["doc_id"] for r in mixed.select("doc_id").collect()) == {i: c for i, c, s in zip(out["doc_id"], out["copies"], out["size"], strict=True) if c}
-    assert mixing.plan(docs.limit(0)).count() == 0
+    assert mixing.plan(docs.limit(0)).count() == 0 == mixing.mix_documents(docs.limit(0)).count()
+
+
+def test_the_tree_decides_what_is_taken(spark, make_docs, monkeypatch):
+    """Without the tree's draws nothing is taken; with those of some shards only, only what these draw; tables too long to broadcast give the same."""
+    docs = make_docs([("w " * (i % 9 + 1), None, f"s{i % 3}") for i in range(300)])
+    whole = {r["doc_id"]: r for r in mixing.plan(docs).collect()}
+    original = mixing.shard_draws
+    monkeypatch.setattr(mixing, "shard_draws", lambda *a: original(*a).filter("shard % 2 = 0"))
+    some = {r["doc_id"]: r for r in mixing.plan(docs).collect()}
+    assert all(some[i]["shards"] == [x for x in r["shards"] if x % 2 == 0] and some[i]["taken"] == r["size"] * len(some[i]["shards"]) for i, r in whole.items())
+    assert 0 < sum(r["taken"] for r in some.values()) < sum(r["taken"] for r in whole.values())
+    monkeypatch.setattr(mixing, "shard_draws", original)
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(mixing, "GROUP", 2)
+    assert {r["doc_id"]: r["taken"] for r in mixing.plan(docs).collect()} == {i: r["taken"] for i, r in whole.items()}
+
+
+def test_draws_above_the_generators_range():
+    """Quotas above 1e9 are drawn exactly: mean and variance of the hypergeometric law, within its support."""
+    rng = np.random.default_rng(1)
+    good, bad, draws = 3 * 10**9, 5 * 10**9, 2 * 10**9
+    x = np.array([mixing.hypergeometric(rng, good, bad, draws) for _ in range(400)], float)
+    n = good + bad
+    mean, variance = draws * good / n, draws * (good / n) * (bad / n) * (n - draws) / (n - 1)
+    assert abs(x.mean() - mean) < 4 * (variance / 400) ** 0.5 and 0.75 < x.var() / variance < 1.3
+    assert mixing.hypergeometric(rng, 2 * 10**9, 0, 5) == 5 and mixing.hypergeometric(rng, 10**10, 10**10, 2 * 10**10) == 10**10
+    quota = np.array([4 * 10**9, 7, 2 * 10**9])
+    parts = [mixing.split_quota(quota, s, 5, 3) for s in range(5)]
+    assert (sum(q for _, q in parts) == quota).all()
+
+
+def test_groups_of_sources_split_alike():
+    """The vector of a group follows the draws of the groups' sums, whatever its place."""
+    vectors = [np.array([50, 3, 20]), np.array([7]), np.array([100, 100])]
+    sums = np.array([v.sum() for v in vectors])
+    for shard in range(6):
+        sizes = [mixing.split_quota(v, shard, 6, 1, sums, g)[1].sum() for g, v in enumerate(vectors)]
+        assert abs(sum(sizes) - sums.sum() / 6) <= 3
+    for g, v in enumerate(vectors):
+        assert (sum(mixing.split_quota(v, s, 6, 1, sums, g)[1] for s in range(6)) == v).all()
 
 
 def test_splitting_tree_is_exact():
@@ -267,5 +307,5 @@ def test_rows_without_an_id(spark, make_docs):
     outputs = [quality.ledger(docs), pii.detect(docs), mixing.plan(docs), lmscore.score_documents(docs), toxicity.classify(docs, labels), langid.identify(docs), flac.read_media(flac.to_media(docs)), ngramjoin.join(docs), packing.pack(docs)]
     for out in outputs:
         assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(["None", "None", str(large), "7"])
-    assert sorted(str(r["doc_id"]) for r in ngramjoin.one_of_each(docs).collect()) == ["7", "None", "None"]  # 8 of 9 shingles are shared
+    assert sorted(str(r["doc_id"]) for r in ngramjoin.one_of_each(docs).collect()) == ["7", "None"]  # 8 of 9 shingles are shared
     assert quality.filter_documents(docs).count() == 3 and pii.redact(docs).count() == 4 and mixing.mix_documents(docs).count() >= 3
