@@ -99,7 +99,7 @@ def differing(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -
     return left.join(other, F.col(key) == F.col("_key")).filter(~same).select(key)
 
 
-def invalid_vectors(records: DataFrame, dimension: int) -> DataFrame:
+def invalid_vectors(records: DataFrame, dimension: int | None) -> DataFrame:
     return records.filter(~is_valid(as_double(F.col("embedding")), dimension))
 
 
@@ -151,10 +151,10 @@ def validate(videos: DataFrame, tracks: DataFrame, records: DataFrame, states: D
     must_be_empty(unique(records, "track_id"), "duplicate embedding record")
     must_be_empty(unknown_ids(tracks, videos, "video_id"), "track of an unknown video")
     must_be_empty(unknown_ids(records, tracks, "track_id"), "record of an unknown track")
-    must_be_empty(not_a_permutation(records, "embedding_row"), "rows must be a unique complete permutation")
-    must_be_empty(invalid_vectors(records, dimension).select("track_id"), "invalid embedding")
-    must_be_empty(differing(records, tracks, "track_id", ["video_id"]), "mapping mismatch")
-    must_be_empty(invalid_states(states, tracks, records), "invalid embedding status")
+    must_be_empty(not_a_permutation(records, "embedding_row"), "row numbers are not 0 to n - 1")
+    must_be_empty(invalid_vectors(records, dimension).select("track_id"), "vector that is empty, zero or not finite")
+    must_be_empty(differing(records, tracks, "track_id", ["video_id"]), "record and track name different videos")
+    must_be_empty(invalid_states(states, tracks, records), "state against the tables")
     must_be_empty(shared_members(groups), "track in two groups")
     must_be_empty(set_difference(groups.select("track_id"), records.select("track_id")), "groups do not partition the embedded tracks")
     must_be_empty(groups.filter(~F.col("person_id").rlike("^P[0-9]+$")), "invalid identity id")

@@ -61,3 +61,18 @@ def sampled_paths(paths, representative_path, most: int = 4):
     picked = F.when(n <= most, paths).otherwise(at)
     first = F.when(representative_path.isNotNull(), F.array(representative_path)).otherwise(F.array().cast("array<string>"))
     return F.slice(F.array_distinct(F.concat(first, F.array_compact(picked))), 1, most)
+
+
+def candidates(frames: DataFrame, detections: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Detections of active tracks with the frame that they lie in; frames (video_id, frame_index, ...), detections (video_id, frame_index, track_id, ...), tracks (track_id, is_active)."""
+    active = detections.join(tracks.filter("is_active").select("track_id"), "track_id", "left_semi")
+    return active.join(frames, ["video_id", "frame_index"])
+
+
+def after_crops(tracks: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Tracks (track_id, is_active, ignored_reason) after the choice of crops (track_id, ...): active ones without any are ignored for that; with their number of crops."""
+    counts = chosen.groupBy("track_id").agg(F.count("*").alias("crop_count"))
+    rows = tracks.join(counts, "track_id", "left").withColumn("crop_count", F.coalesce("crop_count", F.lit(0)))
+    lost = F.col("is_active") & (F.col("crop_count") == 0)
+    reason = F.when(lost, F.coalesce("ignored_reason", F.lit("no_valid_crops"))).otherwise(F.col("ignored_reason"))
+    return rows.withColumn("ignored_reason", reason).withColumn("is_active", F.col("is_active") & ~lost)

@@ -106,20 +106,43 @@ def dense_rows(active: DataFrame, order: str) -> DataFrame:
     return inner.join(F.broadcast(before), "_part").withColumn("row", (F.col("_before") + F.col("_n")).cast("long")).drop("_part", "_n", "_before")
 
 
-def colour_histogram(pixels: Iterator) -> np.ndarray:
-    """Fingerprint of decoded HSV pixels (rows, columns, 3): per vertical third a hue-saturation and a value histogram, each of sum 1, at unit length together."""
+# The part of a crop that shows the body (left, right, top, bottom) and the bands of it, as shares; bins of hue, saturation and value.
+BODY = (0.18, 0.82, 0.08, 0.96)
+BANDS = ((0.12, 0.42), (0.42, 0.78), (0.78, 1.0))
+BINS = (16, 4, 8)
+
+
+def colour_histogram(pixels) -> np.ndarray:
+    """Fingerprint of decoded HSV pixels (rows, columns, 3; hue below 180): per band of the body a hue-saturation and a value histogram, each of sum 1, at unit length together."""
     image = np.asarray(pixels)
-    parts = []
-    for third in np.array_split(image, 3, axis=0):
-        h, s, v = third[..., 0].ravel(), third[..., 1].ravel(), third[..., 2].ravel()
-        hs = np.histogram2d(h, s, bins=(16, 4), range=((0, 180), (0, 256)))[0].ravel()
-        vv = np.histogram(v, bins=8, range=(0, 256))[0]
+    height, width = image.shape[:2]
+    left, top = int(width * BODY[0]), int(height * BODY[2])
+    body = image[top : max(top + 1, int(height * BODY[3])), left : max(left + 1, int(width * BODY[1]))]
+    body, parts = body if body.size else image, []
+    for start, end in BANDS:
+        first = int(len(body) * start)
+        band = body[first : max(first + 1, int(len(body) * end))].reshape(-1, 3)
+        hs = np.histogram2d(band[:, 0], band[:, 1], bins=BINS[:2], range=((0, 180), (0, 256)))[0].ravel()
+        vv = np.histogram(band[:, 2], bins=BINS[2], range=(0, 256))[0]
         parts += [x / max(1.0, x.sum()) for x in (hs, vv)]
     out = np.concatenate(parts)
     length = np.linalg.norm(out)
     return out / length if length > V.TINY else out
 
 
+def track_fingerprints(crops: DataFrame) -> DataFrame:
+    """(track_id, embedding, crops_used): the mean fingerprint of a track's decoded crops at unit length, none for tracks without; crops (track_id, height, width, hsv binary)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [colour_histogram(np.frombuffer(b, np.uint8).reshape(h, w, 3)).tolist() for h, w, b in zip(batch["height"], batch["width"], batch["hsv"], strict=True)]
+            yield pd.DataFrame({"track_id": batch["track_id"].values, "embedding": found})
+
+    kind = crops.schema["track_id"].dataType.simpleString()
+    known = crops.filter("hsv IS NOT NULL AND height > 0 AND width > 0").select("track_id", "height", "width", "hsv")
+    return mean_vectors(known.mapInPandas(run, f"track_id {kind}, embedding array<double>"))
+
+
 def blur(gray: np.ndarray) -> float:
     """Variance of the four-neighbour Laplacian of a gray image, with mirrored borders."""
     g = np.pad(np.asarray(gray, float), 1, mode="reflect") if min(np.shape(gray)) > 1 else np.pad(np.asarray(gray, float), 1, mode="edge")
