@@ -54,6 +54,15 @@ def standalone(sections: DataFrame, images: DataFrame) -> DataFrame:
     return pairs.select("person_id", F.aggregate("pairs", F.col("html"), step).alias("html"))
 
 
+# The statistics of an identity that exports name.
+SUMMARY = ("reid_mean", "reid_min", "combined_mean", "combined_min", "combined_p10", "combined_std", "color_mean")
+
+
+def identity_summary(stats: DataFrame, key: str) -> DataFrame:
+    """(key, identity_...) of an identity's statistics."""
+    return stats.select(key, *[F.col(name).alias("identity_" + name) for name in SUMMARY])
+
+
 def run_report(videos: DataFrame, tracks: DataFrame, records: DataFrame, albums: DataFrame) -> DataFrame:
     """(name, n): the counts of a run."""
     out = None

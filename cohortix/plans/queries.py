@@ -300,9 +300,13 @@ def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.blocked_pairs(D.vectors(spark, sf_dir), SIMILAR).withColumn("sim", r6("sim"))
 
 
-@query(f"WITH {UNIT} SELECT id, true AS valid, round(v[1], 6) AS first, round(v[64], 6) AS last FROM v")
+@query(f"""WITH {UNIT}, c AS (SELECT *, id % 7 <> 0 AND id % 11 <> 0 AND id % 13 <> 0 AS valid FROM v)
+SELECT id, valid, CASE WHEN valid THEN round(v[1], 6) END AS first, CASE WHEN valid THEN round(v[64], 6) END AS last FROM c""")
 def vector_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = similarity.checked(D.vectors(spark, sf_dir), 64)
+    """Some vectors are made zero, too short or not finite."""
+    i, e = F.col("id"), F.col("embedding").cast("array<double>")
+    broken = F.when(i % 7 == 0, F.transform(e, lambda x: x * 0)).when(i % 11 == 0, F.slice(e, 1, 63)).when(i % 13 == 0, F.transform(e, lambda x, n: F.when(n == 5, F.lit(float("nan"))).otherwise(x))).otherwise(e)
+    out = similarity.checked(D.vectors(spark, sf_dir).withColumn("embedding", broken), 64)
     return out.select("id", "valid", r6(F.col("unit_embedding")[0]).alias("first"), r6(F.col("unit_embedding")[63]).alias("last"))
 
 
