@@ -264,6 +264,15 @@ def test_toxicity(spark, make_docs):
     assert toxicity.classify(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_with_ids_as_text(spark, make_docs):
+    """Ids may be text, and an id may have several texts and labels."""
+    docs = make_docs([("dunce " * 3 if i % 4 == 0 else "plain words ") + f"w{i % 5} here" for i in range(160)])
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(f"d{i}", int(i % 4 == 0)) for i in range(0, 160, 2)] + [("d0", 0)], "doc_id string, toxic int")
+    out = toxicity.classify(named.unionByName(named.limit(3)), labels).collect()
+    assert len(out) == 163 and all(0 <= r["score"] <= 1 and r["doc_id"].startswith("d") for r in out)
+
+
 def test_language(spark, make_docs):
     rng = np.random.default_rng(5)
     vocabulary = {"en": "the house with thought weather nothing", "de": "das haus mit gedanken wetter nichts schön", "fr": "la maison avec pensée temps rien être", "es": "la casa con pensamiento tiempo nada niño"}
