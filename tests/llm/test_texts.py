@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -240,6 +241,73 @@ def test_class_probabilities_sum_to_one():
     z, e, total = lmscore.logits(weights, index)
     assert counts == [4, 1, 5] and np.allclose((e / total[:, None]).sum(axis=1), 1, atol=1e-5) and np.allclose(np.exp(z).sum(axis=1), total, rtol=1e-4)
 
+def test_word_weights_against_brute_force():
+    """Probabilities of a bucket's words by the definition: shares times exp(weight), summed over every word of the class."""
+    rng = np.random.default_rng(3)
+    words = [bytes([a, b]) * 2 for a in b"abcdefgh" for b in b"xyz"]
+    frequent = {w: int(c) for w, c in zip(words, rng.integers(3, 90, len(words)), strict=True)}
+    m = lmscore.Model(words[:1], frequent)
+    n = sum(frequent.values())
+    texts = [" ".join(w.decode() for w in rng.choice(words, 40)) + " rareword" for _ in range(30)]
+    buckets = lmscore.Buckets(n, 3 * lmscore.BUCKET)
+    common = np.zeros(len(words) + 1, bool)
+    t = m.read(texts)
+    at, keys = buckets.keys(t, common)
+    docs = np.repeat(np.arange(len(texts)), t.counts)[at]
+    flags = np.where(docs < 20, lmscore.TRAINS | lmscore.ASKED, lmscore.ASKED)
+    kinds = np.array([*m.kinds])
+    room = np.array([sum(frequent[w] for w, k in zip(words, m.kinds, strict=False) if k == c) + 3.0 for c in range(lmscore.CLASSES)])
+    shares = (np.array([*frequent.values(), 0]) + 0.5) / room[kinds]
+    parts = list(lmscore.packed_block(keys, (docs << 2 | flags).astype(np.uint32), buckets))
+    assert len(parts) == buckets.number == 3
+    back = [lmscore.unpacked(data) for _, data in parts]
+    assert Counter(np.repeat(np.concatenate([k for k, _, _ in back]), np.concatenate([n for _, _, n in back])).tolist()) == Counter(keys.tolist())
+    got = np.zeros(len(texts))
+    for _, data in parts:
+        for _, sums in lmscore.applied([data], [7], shares):
+            i, s = lmscore.unsqueezed(sums, np.uint32, np.int64)
+            got[i] += s / lmscore.UNIT
+    mask = np.uint64((1 << lmscore.PLACE_BITS) - 1)
+    counts = Counter(keys[docs < 20].tolist())
+    expected = np.zeros(len(texts))
+    for slot in {k >> lmscore.PLACE_BITS for k in counts}:
+        own = np.array(sorted(k for k in counts if k >> lmscore.PLACE_BITS == slot), np.uint64)
+        weights = lmscore.WordWeights(own, np.array([counts[int(k)] for k in own]), shares)
+        theta = {int(k & mask) - 1: w for k, w in zip(own, weights.theta, strict=True)}
+        kind = int(slot) & ((1 << lmscore.CLASS_BITS) - 1)
+        of_class = [i for i in range(len(words)) if m.kinds[i] == kind]
+        rest = 1 - sum(shares[i] for i in of_class)
+        z = rest + sum(shares[i] * np.exp(theta.get(i, 0.0)) for i in of_class)
+        assert theta.get(-1, 0.0) == 0 and rest > 0
+        total = sum(counts[int(k)] for k in own)
+        for i, w in theta.items():
+            if i >= 0:  # the gradient vanishes
+                assert abs(counts[int(slot) << lmscore.PLACE_BITS | i + 1] - total * shares[i] * np.exp(w) / z - w / lmscore.VARIANCE) < 0.3
+        for d, k in zip(docs.tolist(), keys.tolist(), strict=True):
+            if k >> lmscore.PLACE_BITS == slot:
+                expected[d] += theta.get(int(k) % (1 << lmscore.PLACE_BITS) - 1, 0.0) - np.log(z)
+    assert np.allclose(got, expected, atol=0.01)
+
+
+def test_frequent_words_have_a_bound(spark, monkeypatch):
+    counts = spark.createDataFrame([(str(i).encode(), 1 + i // 10) for i in range(1000)], "word binary, n long")
+    monkeypatch.setattr(lmscore, "MOST_HOT", 100)
+    cut = lmscore.least_frequent(counts, 1 << 40)
+    assert 0 < counts.filter(F.col("n") >= cut).count() <= 100
+
+
+def test_lm_knows_a_copy_of_a_training_text(spark, make_docs):
+    """Word pairs of training texts raise the score of their copies, whatever the order of the rows."""
+    rng = np.random.default_rng(8)
+    words = np.array([f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"])
+    texts = [" ".join(rng.choice(words, 80)) for _ in range(300)]
+    held = [i for i in range(300) if crc32(str(i).encode()) % 5 == 1]
+    copied = held[: len(held) // 2]
+    for i, j in zip(copied, (j for j in range(300) if j not in held), strict=False):
+        texts[j] = texts[i]
+    out = {r["doc_id"]: r["score"] for r in lmscore.score_documents(make_docs(texts)).collect()}
+    assert min(out[i] for i in copied) > max(out[i] for i in held if i not in copied)
+
 
 def test_toxicity(spark, make_docs):
     rng = np.random.default_rng(4)
