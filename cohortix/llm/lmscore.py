@@ -567,7 +567,7 @@ def score_flagged(keyed: DataFrame, model: Trained) -> DataFrame:
                     cuts = [*np.searchsorted(t.others, t.firsts).tolist(), len(t.rare)]
                     # log10(0.5) for the rare words so far
                     columns = {
-                        "bucket": pa.array([-1 - block % buckets.number] * len(part), pa.int64()), "block": pa.array([block] * len(part), pa.int64()), "at": pa.array(range(rows, rows + len(part)), pa.int32()),
+                        "bucket": pa.array([-1 - (task + block) % buckets.number] * len(part), pa.int64()), "block": pa.array([block] * len(part), pa.int64()), "at": pa.array(range(rows, rows + len(part)), pa.int32()),
                         "doc_id": part.column("doc_id"), "n_tokens": pa.array(t.counts, pa.int64()), "n_hot": pa.array(np.add.reduceat((t.place >= 0).astype(np.int64), t.firsts)),
                         "words": pa.array(np.add.reduceat(m.logs[t.place], t.firsts)), "context": pa.array(np.add.reduceat(context, t.firsts)),
                         "rare": pa.array([b" ".join(t.rare[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()), "blob": pa.nulls(len(part), pa.binary()),
