@@ -411,8 +411,14 @@ def unsqueezed(data: bytes, *kinds: type) -> list[np.ndarray]:
 
 def packed_block(keys: np.ndarray, docs: np.ndarray, buckets: Buckets) -> Iterator[tuple[int, bytes]]:
     """(bucket, its tokens as bytes): keys by their differences, documents, times, for tokens combined by key and document."""
-    order = np.argsort(keys, kind="stable")  # documents stay in their order
+    order = np.argsort(keys)
     k, d = keys[order], docs[order]
+    # documents of one key in order: where a key repeats, sort the key's number and the document as one
+    again = np.r_[False, k[1:] == k[:-1]][: len(k)]
+    several = np.flatnonzero(again | np.r_[again[1:], False][: len(k)])
+    runs = np.cumsum(~again[several]).astype(np.uint64) << np.uint64(32) | d[several]
+    runs.sort()
+    d[several] = runs.astype(np.uint32)
     firsts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])][: len(k)])
     times = np.diff(np.r_[firsts, len(k)]).astype(np.uint32)
     k, d = k[firsts], d[firsts]
@@ -451,16 +457,18 @@ class WordWeights:
         self.theta, self.log_z = np.zeros(len(keys)), np.zeros(len(firsts))
         if not len(keys):
             return
-        seen = times.astype(float)
-        of_slot = np.repeat(np.add.reduceat(seen, firsts), sizes)
         own = place >= 0  # rare words have no weight: it stays 0
-        share = np.where(own, shares[place], 0.0)
-        theta = np.where(own, np.minimum(VARIANCE * seen, np.log(np.maximum(seen, 1e-9) / (of_slot * np.where(own, share, 1.0)))), 0.0)
+        share = np.where(own, shares[place], 0.0).astype(np.float32)
+        seen = np.where(own, times, 0).astype(np.float32)
+        of_slot = np.repeat(np.add.reduceat(times.astype(np.float32), firsts), sizes)
+        theta = np.zeros(len(keys), np.float32)
+        theta[own] = np.minimum(VARIANCE * seen[own], np.log(seen[own] / (of_slot[own] * share[own])))
+        base = of_slot * share
         for _ in range(STEPS):
-            z = self.normalizers(share, theta, firsts)
-            expected = of_slot * share * np.exp(theta) / np.repeat(z, sizes)
-            theta += np.where(own, np.clip((seen - expected - theta / VARIANCE) / (expected + 1 / VARIANCE), -1, 1), 0.0)
-        self.theta, self.log_z = theta, np.log(self.normalizers(share, theta, firsts))
+            expected = base * np.exp(theta)
+            expected /= np.repeat(self.normalizers(share, theta, firsts), sizes)
+            theta += np.clip((seen - expected - theta / np.float32(VARIANCE)) / (expected + np.float32(1 / VARIANCE)), -1, 1)
+        self.theta, self.log_z = theta.astype(float), np.log(self.normalizers(share.astype(float), theta.astype(float), firsts))
 
     @staticmethod
     def normalizers(share: np.ndarray, theta: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -511,11 +519,14 @@ def applied(parts: list[bytes], blocks: list[int], shares: np.ndarray) -> list[t
     for data, block in zip(parts, blocks, strict=True):
         k, d, n = unpacked(data)
         use = (d & ASKED) > 0
-        at, docs = np.unique((d[use] >> 2).astype(np.uint32), return_inverse=True)
-        sums = np.rint(np.bincount(docs, weights.gains(k[use]) * n[use], len(at)) * UNIT).astype(np.int64)
+        k, docs, n = k[use], d[use] >> 2, n[use]
+        at, gains = np.zeros(0, np.uint32), weights.gains(k) * n
+        if len(docs) and int(docs.max()) > 4 * len(docs):  # few of many documents
+            at, docs = np.unique(docs, return_inverse=True)
+        sums = np.rint(np.bincount(docs, gains) * UNIT).astype(np.int64)
         own = np.flatnonzero(sums)
         if len(own):
-            out.append((block, squeezed(at[own], sums[own])))
+            out.append((block, squeezed(at[own] if len(at) else own.astype(np.uint32), sums[own])))
     return out
 
 
