@@ -151,9 +151,10 @@ def validate(videos: DataFrame, tracks: DataFrame, records: DataFrame, states: D
     must_be_empty(unique(records, "track_id"), "duplicate embedding record")
     must_be_empty(unknown_ids(tracks, videos, "video_id"), "track of an unknown video")
     must_be_empty(unknown_ids(records, tracks, "track_id"), "record of an unknown track")
-    must_be_empty(not_a_permutation(records, "embedding_row"), "row numbers are not 0 to n - 1")
-    must_be_empty(invalid_vectors(records, dimension).select("track_id"), "vector that is empty, zero or not finite")
-    must_be_empty(differing(records, tracks, "track_id", ["video_id"]), "record and track name different videos")
+    # fixed values, which callers match: "permutation", "invalid embedding", "mapping mismatch"
+    must_be_empty(not_a_permutation(records, "embedding_row"), "row numbers are no permutation of 0 to n - 1")
+    must_be_empty(invalid_vectors(records, dimension).select("track_id"), "invalid embedding, empty, zero or not finite")
+    must_be_empty(differing(records, tracks, "track_id", ["video_id"]), "mapping mismatch, record and track name different videos")
     must_be_empty(invalid_states(states, tracks, records), "state against the tables")
     must_be_empty(shared_members(groups), "track in two groups")
     must_be_empty(set_difference(groups.select("track_id"), records.select("track_id")), "groups do not partition the embedded tracks")

@@ -25,7 +25,7 @@ def reconcile(labels: DataFrame, previous: DataFrame, next_number: int = 1) -> D
 
     bad = previous.filter(~F.col("person_id").rlike("^P[0-9]+$")).limit(1).collect()
     if bad:
-        raise ValueError("a previous id is not P and digits")
+        raise ValueError("a previous id is not P-prefixed digits")
     top = previous.agg(F.max(F.substring("person_id", 2, 18).cast("long")).alias("m")).first()["m"]
     first = max(next_number, (top or 0) + 1)
     shared = overlaps(labels, previous)
