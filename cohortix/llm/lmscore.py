@@ -531,7 +531,10 @@ def applied(parts: list[bytes], blocks: list[int], shares: np.ndarray) -> list[t
 
 
 def score(docs: DataFrame, model: Trained) -> DataFrame:
-    """(doc_id, row, n_tokens, n_known, base_score, score) of whole texts; row is unique."""
+    """(doc_id, row, n_tokens, n_known, base_score, score) of whole texts; row is unique.
+
+    The documents must come from files or a written table, so that a task repeated after a lost executor reads the same rows in the same order.
+    """
     asked = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.lit(ASKED).alias("flags"))
     trains = model.docs.select(F.lit(None).cast("string").alias("doc_id"), "text", F.lit(TRAINS).alias("flags"))
     return id_restored(score_flagged(asked.unionByName(trains), model), docs)
