@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..functions.scores import blended_similarity, colour_similarity, consistency
+from ..plans.store import materialize
 from .clusters import linkage
+from .similarity import BLOCK, MOST_PARTS, STRIP
+
+#: Bins that values are counted in, values around p10 that are returned, and what a bin is widened by against rounding.
+BINS, MOST_VALUES, SLACK = 4096, 200_000, 1e-12
 
 
 @dataclass(frozen=True)
@@ -46,15 +52,194 @@ def member_pairs(members: DataFrame, limits: Limits) -> DataFrame:
     return both.withColumn("reid", reid).select("label", "left_id", "right_id", "reid", combined.alias("combined"))
 
 
-def stats(members: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Statistics per label: size, mean and least similarities, p10 (linear interpolation), deviation, colour mean, score and reasons; a single member is consistent."""
+def unit_or_none(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(rows at unit length filled up with zeros, their lengths): a missing vector is NaN, as is one with a missing element."""
+    lengths = np.array([-1 if x is None else len(x) for x in vectors])
+    v = np.zeros((len(lengths), max(0, lengths.max(initial=0))))
+    for n in np.unique(lengths):
+        rows = np.flatnonzero(lengths == n)
+        if n < 0:
+            v[rows] = np.nan
+        elif n > 0:
+            x = np.asarray([vectors.iloc[r] for r in rows], float)
+            size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+            v[rows, :n] = x / np.where(size < V.TINY, 1.0, size)
+    return v, lengths
+
+
+def products(v: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.ndarray, odd: float | None) -> np.ndarray:
+    """Products of the rows a with the rows b; ``odd`` where their lengths differ, as a missing product counts."""
+    out = v[a] @ v[b].T
+    return out if odd is None else np.where(lengths[a][:, None] == lengths[b], out, odd)
+
+
+def pair_strips(frame: pd.DataFrame, limits: Limits, coloured: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(reid, combined) of the pairs of a label's rows in a pair of blocks, as ``member_pairs`` has them, a strip at a time."""
+    w = limits.colour_weight
+    ids, own = frame["id"].to_numpy(), frame["_own"].to_numpy()
+    v, lengths = unit_or_none(frame["embedding"])
+    mixed = len(np.unique(lengths)) > 1
+    missing = mixed or bool(np.isnan(v).any())
+    if coloured:
+        c, tones = colours(frame["colour"])
+    low, high = frame["_low"].iloc[0], frame["_high"].iloc[0]
+    first, last, alone = np.flatnonzero(own == low), np.flatnonzero(own == high), low == high
+    same = alone and len(set(ids)) < len(ids)
+    for at in range(0, len(first), STRIP):
+        a, b = first[at : at + STRIP], last[at:] if alone else last
+        keep = np.triu(np.ones((len(a), len(b)), bool), 1) & (ids[a][:, None] != ids[b] if same else True) if alone else None
+        flat = (lambda x, keep=keep: x[keep]) if alone else np.ravel
+        reid = flat(products(v, lengths, a, b, np.nan if mixed else None))
+        if missing:  # least() and greatest() pass over what is missing
+            reid[np.isnan(reid)] = 1.0
+        np.clip(reid, -1, 1, out=reid)
+        if coloured:
+            raw = flat(products(c, tones, a, b, -np.inf))
+            raw = np.where(np.isnan(raw), 1.0, np.clip((raw - 0.45) / 0.45, 0, 1))
+            known = flat((tones[a][:, None] == tones[b]) & (tones[a] >= 0)[:, None])
+            shade = np.where(known, raw, 0.5)
+        else:
+            shade = 0.5
+        if len(reid):
+            yield reid, np.clip((1.0 - w) * reid + w * shade, -1, 1)
+
+
+def colours(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprints filled up with zeros, their lengths, -1 for a missing one)."""
+    lengths = np.array([-1 if x is None else len(x) for x in column])
+    c = np.zeros((len(lengths), max(0, lengths.max(initial=0))))
+    for r in np.flatnonzero(lengths > 0):
+        c[r, : lengths[r]] = column.iloc[r]
+    return c, lengths
+
+
+def in_blocks(members: DataFrame, block: int) -> tuple[DataFrame, bool]:
+    """Members by pairs of blocks (``_big``, ``_low``, ``_high``), and whether a label has several blocks.
+
+    A label with more than a block of members is dealt by a hash of the id and named by ``_big``; the others meet in
+    buckets that hold about a block, each label whole in one of them.
+    """
+    coloured = "colour" in members.columns
+    shade = F.col("colour").cast("array<double>") if coloured else F.lit(None).cast("array<double>")
+    vector = F.col("embedding") if members.schema["embedding"].dataType.simpleString() == "array<float>" else F.col("embedding").cast("array<double>")
+    rows = members.filter("id IS NOT NULL AND label IS NOT NULL").select("id", "label", vector.alias("embedding"), F.when(~F.exists(shade, F.isnull), shade).alias("colour"))
+    sizes = rows.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"), F.count("*").alias("_n"))
+    total, most, units = sizes.agg(F.sum("_n"), F.max("_blocks"), F.sum(F.when(F.col("_blocks") > 1, F.col("_blocks") * (F.col("_blocks") + 1) / 2))).first()
+    buckets = -(-(total or 0) // block) or 1
+    big = F.col("_blocks") > 1
+    rows = rows.join(sizes.select("label", "_blocks"), "label").withColumn("_own", F.when(big, F.pmod(F.xxhash64("id"), F.col("_blocks"))).otherwise(F.pmod(F.xxhash64("label"), F.lit(buckets))).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.when(big, F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array("_own"))))
+    rows = rows.select("id", "label", "embedding", "colour", "_own", F.when(big, F.col("label")).alias("_big"), F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"))
+    return rows.repartition(min(MOST_PARTS, int(units or 0) + buckets), "_big", "_low", "_high"), (most or 0) > 1
+
+
+def pair_parts(blocks: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
+    """Per label and pair of blocks: count, means, least values, squared deviations and p10 of its pairs, or, where a label has several blocks, how many values fall into each of BINS bins instead of p10."""
     w = limits.colour_weight
-    own = (F.col("combined") - (1.0 - w) * F.col("reid")) / w if w > 0 else F.lit(0.5)
-    shade = F.greatest(F.lit(0.0), F.least(F.lit(1.0), own))
-    found = member_pairs(members, limits).groupBy("label").agg(
-        F.avg("reid").alias("reid_mean"), F.min("reid").alias("reid_min"), F.avg("combined").alias("combined_mean"), F.min("combined").alias("combined_min"),
-        F.percentile("combined", F.lit(0.1)).alias("combined_p10"), F.stddev_pop("combined").alias("combined_std"), F.avg(shade).alias("color_mean"),
+    kind = blocks.schema["label"].dataType.simpleString()
+
+    def one(frame: pd.DataFrame) -> dict | None:
+        whole = bool(frame["_big"].isna().all())
+        n, reid_sum, mean, square, own_sum = 0, 0.0, 0.0, 0.0, 0.0
+        reid_min = combined_min = np.inf
+        values, bins = [], np.zeros(BINS, np.int64)
+        for reid, combined in pair_strips(frame, limits, coloured):
+            k, m = len(reid), combined.mean()
+            apart = combined - m
+            square += float(apart @ apart) + (m - mean) ** 2 * n * k / (n + k)
+            mean, n = mean + (m - mean) * k / (n + k), n + k
+            reid_sum, reid_min, combined_min = reid_sum + float(reid.sum()), min(reid_min, float(reid.min())), min(combined_min, float(combined.min()))
+            own_sum += 0.5 * k if w <= 0 or not coloured else float(np.clip((combined - (1.0 - w) * reid) / w, 0, 1).sum())
+            if whole:
+                values.append(combined)
+            else:
+                bins += binned(combined, -1.0, 1.0)
+        if not n:
+            return None
+        p10 = float(np.percentile(np.concatenate(values), 10)) if whole else None
+        return {"label": frame["label"].iloc[0], "n": n, "reid_sum": reid_sum, "reid_min": reid_min, "mean": mean, "square": square, "combined_min": combined_min, "own_sum": own_sum, "p10": p10, "bins": None if whole else bins}
+
+    names = ["label", "n", "reid_sum", "reid_min", "mean", "square", "combined_min", "own_sum", "p10", "bins"]
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        found = [one(part) for _, part in frame.groupby("label", sort=False) if len(part) > 1]
+        return pd.DataFrame([x for x in found if x], columns=names)
+
+    return blocks.groupBy("_big", "_low", "_high").applyInPandas(meet, f"label {kind}, n long, reid_sum double, reid_min double, mean double, square double, combined_min double, own_sum double, p10 double, bins array<long>")
+
+
+def binned(x: np.ndarray, low: float, high: float) -> np.ndarray:
+    """Counts of the values in BINS equal bins from low to high; values beyond count in the outer ones."""
+    return np.bincount(np.clip((x - low) * (BINS / (high - low)), 0, BINS - 1).astype(np.intp), minlength=BINS)
+
+
+def located(counts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(label, a, b, inside): the least keys up to which more than ``rank`` and ``rank + 1`` values are counted, and the number of values from a to b; counts (label, key, n), ranks (label, rank)."""
+    order = Window.partitionBy("label").orderBy("key")
+    upto = counts.groupBy("label", "key").agg(F.sum("n").alias("n")).withColumn("_upto", F.sum("n").over(order)).join(ranks.select("label", "rank"), "label")
+    found = upto.groupBy("label").agg(F.min(F.when(F.col("_upto") > F.col("rank"), F.col("key"))).alias("a"), F.min(F.when(F.col("_upto") > F.col("rank") + 1, F.col("key"))).alias("b"), F.max("key").alias("_last"))
+    found = found.select("label", F.coalesce("a", "_last").alias("a"), F.coalesce("b", "_last").alias("b"))
+    return upto.join(found, "label").filter("key BETWEEN a AND b").groupBy("label", "a", "b").agg(F.sum("n").alias("inside"))
+
+
+def exact_p10(blocks: DataFrame, parts: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
+    """(label, p10) of labels with several blocks: the values around the rank are narrowed down to a bin, then bins of that bin, until they are few enough to be returned; pairs are multiplied again in each round."""
+    kind = blocks.schema["label"].dataType.simpleString()
+    position = (F.sum("n") - 1) * 0.1
+    ranks = materialize(parts.filter("bins IS NOT NULL").groupBy("label").agg(F.floor(position).alias("rank"), (position - F.floor(position)).alias("share")), "ranks")
+    bins = located(parts.filter("bins IS NOT NULL").select("label", F.posexplode("bins").alias("key", "n")).filter("n > 0"), ranks)
+    width = F.lit(2.0 / BINS)
+    spans = bins.select("label", (F.col("a") * width - 1.0 - SLACK).alias("low"), ((F.col("b") + 1) * width - 1.0 + SLACK).alias("high"), "inside")
+    big, out = blocks.filter("_big IS NOT NULL"), None
+    while True:
+        spans = materialize(spans, "spans")
+        few = (F.col("inside") <= MOST_VALUES) | (F.col("high") - F.col("low") <= 4 * SLACK)
+
+        def look(frame: pd.DataFrame) -> pd.DataFrame:
+            low, high, fine = frame["low"].iloc[0], frame["high"].iloc[0], frame["few"].iloc[0]
+            before, values, bins = 0, [], np.zeros(BINS, np.int64)
+            for _, x in pair_strips(frame, limits, coloured):
+                before += int((x < low).sum())
+                x = x[(x >= low) & (x <= high)]
+                if fine:
+                    values.append(np.unique(x, return_counts=True))
+                else:
+                    bins += binned(x, low, high)
+            keys, n = (np.concatenate(x) for x in zip(*values, strict=True)) if values else (np.flatnonzero(bins), bins[bins > 0])
+            return pd.DataFrame({"label": frame["label"].iloc[0], "few": fine, "key": np.append(-9.0, keys), "n": np.append(before, n)})
+
+        seen = big.join(F.broadcast(spans.select("label", "low", "high", few.alias("few"))), "label").groupBy("_big", "_low", "_high").applyInPandas(look, f"label {kind}, few boolean, key double, n long")
+        seen = materialize(seen, "values")
+        found = located(seen.filter("few").select("label", "key", "n"), ranks).join(ranks, "label").select("label", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("p10"))
+        out = found if out is None else out.unionByName(found)
+        rest = spans.filter(~few)
+        if rest.isEmpty():
+            return out
+        width = (F.col("high") - F.col("low")) / BINS
+        finer = located(seen.filter("NOT few").select("label", "key", "n"), ranks).join(rest.drop("inside"), "label")
+        spans = finer.select("label", (F.col("low") + F.greatest("a", F.lit(0.0)) * width - SLACK).alias("low"), (F.col("low") + (F.col("b") + 1) * width + SLACK).alias("high"), "inside")
+        big = big.join(F.broadcast(rest.select("label")), "label", "left_semi")
+
+
+def pair_stats(members: DataFrame, limits: Limits, block: int = BLOCK) -> DataFrame:
+    """(label, reid_mean, reid_min, combined_mean, combined_min, combined_p10, combined_std, color_mean) over the pairs of each label, exact, by products of blocks; no pair leaves its task, but for the values around p10."""
+    coloured = "colour" in members.columns
+    blocks, several = in_blocks(members, block)
+    parts = materialize(pair_parts(blocks, limits, coloured), "pairs")
+    mean = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy("label")) / F.sum("n").over(Window.partitionBy("label"))
+    apart = parts.withColumn("_mean", mean).withColumn("_square", F.col("square") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2)
+    out = apart.groupBy("label").agg(
+        (F.sum("reid_sum") / F.sum("n")).alias("reid_mean"), F.min("reid_min").alias("reid_min"), F.first("_mean").alias("combined_mean"), F.min("combined_min").alias("combined_min"),
+        F.max("p10").alias("combined_p10"), F.sqrt(F.sum("_square") / F.sum("n")).alias("combined_std"), (F.sum("own_sum") / F.sum("n")).alias("color_mean"),
     )
+    if not several:
+        return out
+    return out.join(exact_p10(blocks, parts, limits, coloured), "label", "left").withColumn("combined_p10", F.coalesce("combined_p10", "p10")).drop("p10")
+
+
+def stats(members: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Statistics per label: size, mean and least similarities, p10 (linear interpolation), deviation, colour mean, score and reasons; a single member is consistent."""
+    found = pair_stats(members, limits)
     sizes = members.groupBy("label").agg(F.count("*").alias("size"))
     ones = ["reid_mean", "reid_min", "combined_mean", "combined_min", "combined_p10", "color_mean"]
     out = sizes.join(found, "label", "left").select("label", "size", *[F.coalesce(c, F.lit(1.0)).alias(c) for c in ones], F.coalesce("combined_std", F.lit(0.0)).alias("combined_std"))

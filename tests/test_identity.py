@@ -307,3 +307,30 @@ def test_average_link_of_large_components(spark, monkeypatch):
         assert partition_of([got[i] for i in range(len(v))]) == want
     monkeypatch.setattr(similarity, "blocked_links", blocks)
     assert not blocks(df, 0.75, 1, 220).filter("NOT whole").isEmpty() and blocks(df, 0.75, 10**6, 220).filter("NOT whole").isEmpty()
+
+
+def test_statistics_by_blocks_equal_all_pairs(spark, monkeypatch):
+    """Labels of one and of several blocks, also of copies and of broken vectors and colours: the figures of all pairs."""
+    rng = np.random.default_rng(1)
+    data = [(i, int(rng.choice([1, 1, 1, 2, 3, 4])), [float(y) for y in np.r_[rng.standard_normal(3), 1]], [float(y) for y in rng.random(2)] if i % 3 else None) for i in range(150)]
+    data += [(200 + i, 5, [1.0, 2.0, 3.0, 4.0 + (i == 7) * 1e-7], [1.0, 0.5]) for i in range(60)]
+    data += [(300, 1, None, [0.6, 0.8]), (301, 1, [1.0, float("nan"), 0.0, 1.0], [1.0, None]), (302, 2, [0.0] * 4, [1.0, float("nan")]), (303, 2, [1.0, 2.0], [1.0]), (304, 6, [1.0] * 4, None), (305, None, [1.0] * 4, None)]
+    full = spark.createDataFrame(data, "id long, label long, embedding array<double>, colour array<double>").cache()
+    limits = identity.Limits()
+    monkeypatch.setattr(identity, "MOST_VALUES", 20)
+    for members in (full, full.drop("colour")):
+        own = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("combined") - 0.75 * F.col("reid")) / 0.25))
+        want = identity.member_pairs(members, limits).groupBy("label").agg(F.avg("reid"), F.min("reid"), F.avg("combined"), F.min("combined"), F.percentile("combined", F.lit(0.1)), F.stddev_pop("combined"), F.avg(own))
+        want = {r[0]: tuple(r)[1:] for r in want.collect()}
+        got = {r[0]: tuple(r)[1:] for r in identity.pair_stats(members, limits, block=25).collect()}
+        assert got.keys() == want.keys() == {1, 2, 3, 4, 5}
+        for k in want:
+            assert np.allclose(got[k], want[k], rtol=0, atol=1e-9), (k, got[k], want[k])
+
+
+def test_pairs_where_blocks_stay_empty(spark):
+    v = np.random.default_rng(2).standard_normal((9, 3))
+    df = spark.createDataFrame([(i, 1, [float(y) for y in x]) for i, x in enumerate(v)], "id long, label long, embedding array<float>").coalesce(1).cache()
+    assert rows(similarity.blocked_pairs(df.select("id", "embedding"), -1.0, block=1), "left_id", "right_id") == list(itertools.combinations(range(9), 2))
+    got, want = identity.pair_stats(df, identity.Limits(), block=1).first(), identity.pair_stats(df, identity.Limits()).first()
+    assert np.allclose(tuple(got), tuple(want), rtol=0, atol=1e-9)
