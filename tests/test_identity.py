@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortix.functions import scalars, scores, text, vectors
 from cohortix.operators import albums, catalog, clusters, conflicts, continuity, crops, identity, ranges, ranking, similarity, tracks
-from cohortix.plans import config
+from cohortix.plans import collection_queries, config
 from cohortix.sources import files
 
 
@@ -334,3 +334,21 @@ def test_pairs_where_blocks_stay_empty(spark):
     assert rows(similarity.blocked_pairs(df.select("id", "embedding"), -1.0, block=1), "left_id", "right_id") == list(itertools.combinations(range(9), 2))
     got, want = identity.pair_stats(df, identity.Limits(), block=1).first(), identity.pair_stats(df, identity.Limits()).first()
     assert np.allclose(tuple(got), tuple(want), rtol=0, atol=1e-9)
+
+
+def labelled(spark, folder):
+    v = np.random.default_rng(4).standard_normal((90, 4))
+    data = [(i, [float(y) for y in x], i % 2) for i, x in enumerate(v)]
+    spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+    u = v.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    return [0.75 * (u[k::2] @ u[k::2].T)[np.triu_indices(45, 1)] + 0.125 for k in (0, 1)]
+
+
+def test_summary_makes_no_rows_of_pairs(spark, tmp_path, monkeypatch):
+    combined = labelled(spark, tmp_path)
+    monkeypatch.setattr(identity, "member_pairs", None)
+    out = {r["label"]: r for r in collection_queries.identity_summary(spark, str(tmp_path)).collect()}
+    for k in (0, 1):
+        got = [out[k]["identity_combined_" + x] for x in ("mean", "min", "p10", "std")]
+        assert np.allclose(got, [combined[k].mean(), combined[k].min(), np.percentile(combined[k], 10), combined[k].std()], rtol=0, atol=1e-6)
