@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortix.functions import scalars, scores, text, vectors
 from cohortix.operators import albums, catalog, clusters, conflicts, continuity, crops, identity, ranges, ranking, similarity, tracks
-from cohortix.plans import collection_queries, config
+from cohortix.plans import collection_queries, config, queries
 from cohortix.sources import files
 
 
@@ -352,3 +352,10 @@ def test_summary_makes_no_rows_of_pairs(spark, tmp_path, monkeypatch):
     for k in (0, 1):
         got = [out[k]["identity_combined_" + x] for x in ("mean", "min", "p10", "std")]
         assert np.allclose(got, [combined[k].mean(), combined[k].min(), np.percentile(combined[k], 10), combined[k].std()], rtol=0, atol=1e-6)
+
+
+def test_should_split_makes_no_rows_of_pairs(spark, tmp_path, monkeypatch):
+    combined = labelled(spark, tmp_path)
+    monkeypatch.setattr(identity, "member_pairs", None)
+    want = {k: c.mean() < 0.12505 or c.min() < -0.3 or (np.percentile(c, 10) < 0.05 and c.std() > 0.09) for k, c in enumerate(combined)}
+    assert {r["label"]: r["should_split"] for r in queries.should_split(spark, str(tmp_path)).collect()} == want
