@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..functions.scores import blended_similarity, colour_similarity, consistency
 from ..plans.store import materialize
-from .clusters import linkage
-from .similarity import BLOCK, MOST_PARTS, STRIP
+from .clusters import linkage, linkage_of_rows
+from .similarity import BLOCK, MOST_PARTS, STRIP, unit_rows
 
 #: Bins that values are counted in, values around p10 that are returned, and what a bin is widened by against rounding.
 BINS, MOST_VALUES, SLACK = 4096, 200_000, 1e-12
@@ -269,16 +269,16 @@ def split(members: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     def parts(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id", ignore_index=True)
-        v = np.asarray(frame["embedding"].tolist(), float)
-        n = np.linalg.norm(v, axis=1, keepdims=True)
-        v = v / np.where(n < V.TINY, 1.0, n)
-        shade = np.full((len(v), len(v)), 0.5)
+        v = unit_rows(frame["embedding"])
         have = frame["colour"].notna().to_numpy()
         if have.any():
+            shade = np.full((len(v), len(v)), 0.5)
             c = np.asarray(frame.loc[have, "colour"].tolist(), float)
             shade[np.ix_(have, have)] = np.clip((c @ c.T - 0.45) / 0.45, 0, 1)
-        similar = np.clip((1 - limits.colour_weight) * np.clip(v @ v.T, -1, 1) + limits.colour_weight * shade, -1, 1)
-        label = linkage(np.clip(1 - similar, 0, 2), limits.split_distance)
+            similar = np.clip((1 - limits.colour_weight) * np.clip(v @ v.T, -1, 1) + limits.colour_weight * shade, -1, 1)
+            label = linkage(np.clip(1 - similar, 0, 2), limits.split_distance)
+        else:  # without colours the blend is linear in the product, so the matrix is not needed
+            label = linkage_of_rows(v, limits.split_distance, slope=1 - limits.colour_weight, offset=0.5 * limits.colour_weight)
         ids = frame["id"].to_numpy()
         return pd.DataFrame({"id": ids, "label": np.where(label == label[0], frame["label"].to_numpy(), ids[label])})
 

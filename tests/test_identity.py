@@ -359,3 +359,13 @@ def test_should_split_makes_no_rows_of_pairs(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(identity, "member_pairs", None)
     want = {k: c.mean() < 0.12505 or c.min() < -0.3 or (np.percentile(c, 10) < 0.05 and c.std() > 0.09) for k, c in enumerate(combined)}
     assert {r["label"]: r["should_split"] for r in queries.should_split(spark, str(tmp_path)).collect()} == want
+
+
+def test_split_without_colours_makes_no_matrix(spark, monkeypatch):
+    v = np.random.default_rng(6).standard_normal((60, 3))
+    members = spark.createDataFrame([(i, 5, [float(y) for y in x]) for i, x in enumerate(v)], "id long, label long, embedding array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    label = clusters.linkage(1 - (0.75 * u @ u.T + 0.125), 0.4)
+    monkeypatch.setattr(identity, "linkage", None)
+    got = {r["id"]: r["label"] for r in identity.split(members, identity.Limits(split_distance=0.4)).collect()}
+    assert got == {i: 5 if x == label[0] else x for i, x in enumerate(label)}
