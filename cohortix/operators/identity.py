@@ -14,10 +14,12 @@ from ..functions import vectors as V
 from ..functions.scores import blended_similarity, colour_similarity, consistency
 from ..plans.store import materialize
 from .clusters import linkage, linkage_of_rows
-from .similarity import BLOCK, MOST_PARTS, STRIP, unit_rows
+from .similarity import BLOCK, CHUNK, MOST_PARTS, STRIP, unit_rows
 
 #: Bins that values are counted in, values around p10 that are returned, and what a bin is widened by against rounding.
 BINS, MOST_VALUES, SLACK = 4096, 200_000, 1e-12
+#: Where the variance of products is less than this share of their mean square, it is not taken from sums.
+FLAT = 1e-6
 
 
 @dataclass(frozen=True)
@@ -104,6 +106,84 @@ def pair_strips(frame: pd.DataFrame, limits: Limits, coloured: bool) -> Iterator
             yield reid, np.clip((1.0 - w) * reid + w * shade, -1, 1)
 
 
+def plain_blocks(frame: pd.DataFrame, limits: Limits, coloured: bool) -> tuple[np.ndarray, np.ndarray, bool] | None:
+    """(first, last, alone): unit vectors of a pair of blocks whose blends are linear in their products; None for other pairs, which ``pair_strips`` has."""
+    if coloured or not 0 <= limits.colour_weight <= 1:
+        return None
+    low, high = frame["_low"].iloc[0], frame["_high"].iloc[0]
+    if low == high and frame["id"].duplicated().any():
+        return None
+    v, lengths = unit_or_none(frame["embedding"])
+    if len(np.unique(lengths)) > 1 or lengths[0] < 1 or not np.isfinite(v).all():
+        return None
+    own = frame["_own"].to_numpy()
+    return v[own == low], v[own == high], low == high
+
+
+def rough_strips(first: np.ndarray, last: np.ndarray, alone: bool) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, column, products in single precision) of the pairs of two blocks, each pair once; what is no pair is infinite."""
+    a, b = first.astype(np.float32), last.astype(np.float32).T
+    for at in range(0, len(a), STRIP):
+        start = at if alone else 0
+        rough = a[at : at + STRIP] @ b[:, start:]
+        if alone:
+            square = rough[:, : len(rough)]
+            square[np.tril_indices(len(square))] = np.inf
+        yield at, start, rough
+
+
+def margin(v: np.ndarray) -> float:
+    """More than the error of a product of unit vectors in single precision."""
+    return (v.shape[1] + 4) * 2.0**-23
+
+
+def plain_part(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits) -> dict | None:
+    """What ``pair_parts`` has of a pair of blocks: sums in closed form, the least product from double precision, counts in bins from single precision; None where the deviation is too small for sums."""
+    w, n = limits.colour_weight, len(first) * (len(first) - 1) // 2 if alone else len(first) * len(last)
+    if not n:
+        return None
+    if alone:
+        size = (first * first).sum(axis=1)
+        total = (float(np.square(first.sum(axis=0)).sum()) - float(size.sum())) / 2
+        squares = (float(np.square(first.T @ first).sum()) - float((size * size).sum())) / 2
+    else:
+        total = float(first.sum(axis=0) @ last.sum(axis=0))
+        squares = float(((first.T @ first) * (last.T @ last)).sum())
+    apart = squares - total * total / n
+    if apart < FLAT * squares or squares <= 0:
+        return None
+    least, near, bins, scale = np.inf, 2 * margin(first), np.zeros(BINS + 1, np.int64), BINS / 2
+    for at, start, rough in rough_strips(first, last, alone):
+        if rough.min(initial=np.inf) <= least + near:
+            exact = first[at : at + STRIP] @ last[start:].T
+            least = min(least, float(exact[np.isfinite(rough)].min(initial=np.inf)))
+        rough *= np.float32((1.0 - w) * scale)
+        rough += np.float32((0.5 * w + 1.0) * scale)
+        if alone:
+            rough[:, : len(rough)][np.tril_indices(len(rough))] = BINS  # counted apart
+        bins += np.bincount(np.clip(rough, 0, BINS if alone else BINS - 1, out=rough).astype(np.intp).ravel(), minlength=BINS + 1)
+    reid_min, shift = max(-1.0, min(1.0, least)), 0.5 * w
+    # a product that rounding takes beyond the last bin counts in it
+    bins[BINS - 1] += n - bins[:BINS].sum()
+    return {"n": n, "reid_sum": total, "reid_min": reid_min, "mean": (1.0 - w) * total / n + shift, "square": (1.0 - w) ** 2 * apart, "combined_min": (1.0 - w) * reid_min + shift, "own_sum": 0.5 * n, "p10": None, "bins": bins[:BINS], "slack": near}
+
+
+def plain_values(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits, low: float, high: float) -> tuple[int, np.ndarray]:
+    """(number of values below low, those from low to high): single precision tells which values are worked out in double precision."""
+    w, before, found = limits.colour_weight, 0, [np.empty(0)]
+    least, most = ((x - 0.5 * w) / (1.0 - w) for x in (low, high))
+    least, most = np.float32(least - 2 * margin(first)), np.float32(most + 2 * margin(first))
+    for at, start, rough in rough_strips(first, last, alone):
+        before += int((rough < least).sum())
+        i, j = np.nonzero((rough >= least) & (rough <= most))
+        for k in range(0, len(i), CHUNK):
+            reid = np.clip(np.einsum("ij,ij->i", first[at + i[k : k + CHUNK]], last[start + j[k : k + CHUNK]]), -1, 1)
+            x = (1.0 - w) * reid + w * 0.5
+            before += int((x < low).sum())
+            found.append(x[(x >= low) & (x <= high)])
+    return before, np.concatenate(found)
+
+
 def colours(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprints filled up with zeros, their lengths, -1 for a missing one)."""
     lengths = np.array([-1 if x is None else len(x) for x in column])
@@ -123,7 +203,8 @@ def in_blocks(members: DataFrame, block: int) -> tuple[DataFrame, bool]:
     shade = F.col("colour").cast("array<double>") if coloured else F.lit(None).cast("array<double>")
     vector = F.col("embedding") if members.schema["embedding"].dataType.simpleString() == "array<float>" else F.col("embedding").cast("array<double>")
     rows = members.filter("id IS NOT NULL AND label IS NOT NULL").select("id", "label", vector.alias("embedding"), F.when(~F.exists(shade, F.isnull), shade).alias("colour"))
-    sizes = rows.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"), F.count("*").alias("_n"))
+    # written, so that few labels are broadcast and the vectors are not dealt by label first
+    sizes = materialize(rows.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"), F.count("*").alias("_n")), "sizes")
     total, most, units = sizes.agg(F.sum("_n"), F.max("_blocks"), F.sum(F.when(F.col("_blocks") > 1, F.col("_blocks") * (F.col("_blocks") + 1) / 2))).first()
     buckets = -(-(total or 0) // block) or 1
     big = F.col("_blocks") > 1
@@ -140,6 +221,8 @@ def pair_parts(blocks: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
 
     def one(frame: pd.DataFrame) -> dict | None:
         whole = bool(frame["_big"].isna().all())
+        if not whole and (plain := plain_blocks(frame, limits, coloured)) and (part := plain_part(*plain, limits)):
+            return {"label": frame["label"].iloc[0], **part}
         n, reid_sum, mean, square, own_sum = 0, 0.0, 0.0, 0.0, 0.0
         reid_min = combined_min = np.inf
         values, bins = [], np.zeros(BINS, np.int64)
@@ -157,15 +240,15 @@ def pair_parts(blocks: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
         if not n:
             return None
         p10 = float(np.percentile(np.concatenate(values), 10)) if whole else None
-        return {"label": frame["label"].iloc[0], "n": n, "reid_sum": reid_sum, "reid_min": reid_min, "mean": mean, "square": square, "combined_min": combined_min, "own_sum": own_sum, "p10": p10, "bins": None if whole else bins}
+        return {"label": frame["label"].iloc[0], "n": n, "reid_sum": reid_sum, "reid_min": reid_min, "mean": mean, "square": square, "combined_min": combined_min, "own_sum": own_sum, "p10": p10, "bins": None if whole else bins, "slack": SLACK}
 
-    names = ["label", "n", "reid_sum", "reid_min", "mean", "square", "combined_min", "own_sum", "p10", "bins"]
+    names = ["label", "n", "reid_sum", "reid_min", "mean", "square", "combined_min", "own_sum", "p10", "bins", "slack"]
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         found = [one(part) for _, part in frame.groupby("label", sort=False) if len(part) > 1]
         return pd.DataFrame([x for x in found if x], columns=names)
 
-    return blocks.groupBy("_big", "_low", "_high").applyInPandas(meet, f"label {kind}, n long, reid_sum double, reid_min double, mean double, square double, combined_min double, own_sum double, p10 double, bins array<long>")
+    return blocks.groupBy("_big", "_low", "_high").applyInPandas(meet, f"label {kind}, n long, reid_sum double, reid_min double, mean double, square double, combined_min double, own_sum double, p10 double, bins array<long>, slack double")
 
 
 def binned(x: np.ndarray, low: float, high: float) -> np.ndarray:
@@ -183,13 +266,14 @@ def located(counts: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def exact_p10(blocks: DataFrame, parts: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
-    """(label, p10) of labels with several blocks: the values around the rank are narrowed down to a bin, then bins of that bin, until they are few enough to be returned; pairs are multiplied again in each round."""
+    """(label, p10) of labels with several blocks: the bins' counts may be rough by ``slack``, by which what is searched is widened; the values around the rank are narrowed down to a bin, then bins of that bin, until they are few enough to be returned; pairs are multiplied again in each round."""
     kind = blocks.schema["label"].dataType.simpleString()
     position = (F.sum("n") - 1) * 0.1
-    ranks = materialize(parts.filter("bins IS NOT NULL").groupBy("label").agg(F.floor(position).alias("rank"), (position - F.floor(position)).alias("share")), "ranks")
-    bins = located(parts.filter("bins IS NOT NULL").select("label", F.posexplode("bins").alias("key", "n")).filter("n > 0"), ranks)
+    found = parts.filter("bins IS NOT NULL")
+    ranks = found.groupBy("label").agg(F.floor(position).alias("rank"), (position - F.floor(position)).alias("share"), F.max("slack").alias("slack"))
+    bins = located(found.select("label", F.posexplode("bins").alias("key", "n")).filter("n > 0"), ranks)
     width = F.lit(2.0 / BINS)
-    spans = bins.select("label", (F.col("a") * width - 1.0 - SLACK).alias("low"), ((F.col("b") + 1) * width - 1.0 + SLACK).alias("high"), "inside")
+    spans = bins.join(ranks, "label").select("label", (F.col("a") * width - 1.0 - F.col("slack")).alias("low"), ((F.col("b") + 1) * width - 1.0 + F.col("slack")).alias("high"), "inside", "rank", "share")
     big, out = blocks.filter("_big IS NOT NULL"), None
     while True:
         spans = materialize(spans, "spans")
@@ -197,6 +281,10 @@ def exact_p10(blocks: DataFrame, parts: DataFrame, limits: Limits, coloured: boo
 
         def look(frame: pd.DataFrame) -> pd.DataFrame:
             low, high, fine = frame["low"].iloc[0], frame["high"].iloc[0], frame["few"].iloc[0]
+            if fine and limits.colour_weight < 1 and (plain := plain_blocks(frame, limits, coloured)):
+                before, x = plain_values(*plain, limits, low, high)
+                keys, n = np.unique(x, return_counts=True)
+                return pd.DataFrame({"label": frame["label"].iloc[0], "few": True, "key": np.append(-9.0, keys), "n": np.append(before, n)})
             before, values, bins = 0, [], np.zeros(BINS, np.int64)
             for _, x in pair_strips(frame, limits, coloured):
                 before += int((x < low).sum())
@@ -210,14 +298,14 @@ def exact_p10(blocks: DataFrame, parts: DataFrame, limits: Limits, coloured: boo
 
         seen = big.join(F.broadcast(spans.select("label", "low", "high", few.alias("few"))), "label").groupBy("_big", "_low", "_high").applyInPandas(look, f"label {kind}, few boolean, key double, n long")
         seen = materialize(seen, "values")
-        found = located(seen.filter("few").select("label", "key", "n"), ranks).join(ranks, "label").select("label", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("p10"))
+        found = located(seen.filter("few").select("label", "key", "n"), spans).join(spans.select("label", "share"), "label").select("label", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("p10"))
         out = found if out is None else out.unionByName(found)
         rest = spans.filter(~few)
         if rest.isEmpty():
             return out
         width = (F.col("high") - F.col("low")) / BINS
-        finer = located(seen.filter("NOT few").select("label", "key", "n"), ranks).join(rest.drop("inside"), "label")
-        spans = finer.select("label", (F.col("low") + F.greatest("a", F.lit(0.0)) * width - SLACK).alias("low"), (F.col("low") + (F.col("b") + 1) * width + SLACK).alias("high"), "inside")
+        finer = located(seen.filter("NOT few").select("label", "key", "n"), spans).join(rest.drop("inside"), "label")
+        spans = finer.select("label", (F.col("low") + F.greatest("a", F.lit(0.0)) * width - SLACK).alias("low"), (F.col("low") + (F.col("b") + 1) * width + SLACK).alias("high"), "inside", "rank", "share")
         big = big.join(F.broadcast(rest.select("label")), "label", "left_semi")
 
 

@@ -328,6 +328,24 @@ def test_statistics_by_blocks_equal_all_pairs(spark, monkeypatch):
             assert np.allclose(got[k], want[k], rtol=0, atol=1e-9), (k, got[k], want[k])
 
 
+def test_plain_blocks_are_not_multiplied_pair_by_pair(spark, monkeypatch):
+    """Vectors without colours take the way by sums and single precision, and near copies, whose deviation sums cannot tell, do not."""
+    rng = np.random.default_rng(3)
+    v = np.r_[rng.standard_normal((300, 8)), np.ones((80, 8)) + 1e-7 * rng.standard_normal((80, 8))]
+    data = [(i, int(i >= 300), [float(y) for y in x]) for i, x in enumerate(v)]
+    df = spark.createDataFrame(data, "id long, label long, embedding array<double>").cache()
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    limits = identity.Limits()
+    got = {r["label"]: r for r in identity.pair_stats(df, limits, block=40).collect()}
+    for k, part in enumerate((u[:300], u[300:])):
+        sims = np.clip((part @ part.T)[np.triu_indices(len(part), 1)], -1, 1)
+        x = 0.75 * sims + 0.125
+        want = [sims.mean(), sims.min(), x.mean(), x.min(), np.percentile(x, 10), x.std(), 0.5]
+        assert np.allclose(tuple(got[k])[1:], want, rtol=0, atol=1e-9)
+    monkeypatch.setattr(identity, "pair_strips", None)
+    assert np.allclose(tuple(identity.pair_stats(df.filter("label = 0"), limits, block=40).first()), tuple(got[0]), rtol=0, atol=1e-9)
+
+
 def test_pairs_where_blocks_stay_empty(spark):
     v = np.random.default_rng(2).standard_normal((9, 3))
     df = spark.createDataFrame([(i, 1, [float(y) for y in x]) for i, x in enumerate(v)], "id long, label long, embedding array<float>").coalesce(1).cache()
