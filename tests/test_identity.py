@@ -379,6 +379,14 @@ def test_should_split_makes_no_rows_of_pairs(spark, tmp_path, monkeypatch):
     assert {r["label"]: r["should_split"] for r in queries.should_split(spark, str(tmp_path)).collect()} == want
 
 
+def test_should_split_of_plain_vectors_needs_no_strips(spark, tmp_path, monkeypatch):
+    combined = labelled(spark, tmp_path)
+    monkeypatch.setattr(identity, "pair_strips", None)
+    monkeypatch.setattr(identity.pair_stats, "__defaults__", (20,))
+    want = {k: c.mean() < 0.12505 or c.min() < -0.3 or (np.percentile(c, 10) < 0.05 and c.std() > 0.09) for k, c in enumerate(combined)}
+    assert {r["label"]: r["should_split"] for r in queries.should_split(spark, str(tmp_path)).collect()} == want
+
+
 def test_split_without_colours_makes_no_matrix(spark, monkeypatch):
     v = np.random.default_rng(6).standard_normal((60, 3))
     members = spark.createDataFrame([(i, 5, [float(y) for y in x]) for i, x in enumerate(v)], "id long, label long, embedding array<double>")
