@@ -113,7 +113,7 @@ def may_contain(ids: DataFrame, column: Column) -> Column:
     slots = ids.select(slot(F.col(ids.columns[0])).alias("slot"))
     maps = slots.groupBy(F.floor(F.col("slot") / BUCKET_BITS).alias("bucket")).agg(F.bitmap_construct_agg((F.col("slot") % BUCKET_BITS)).alias("bits"))
     bits = np.zeros((FILTER_BITS // BUCKET_BITS, BUCKET_BITS // 8), np.uint8)
-    for row in maps.toLocalIterator():
+    for row in maps.collect():  # as large as the filter, and one job, while an iterator is a job for each partition
         bits[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
     shared = ids.sparkSession.sparkContext.broadcast(bits.reshape(-1))
 

@@ -14,6 +14,8 @@ from .common import discard, materialize
 CONTRACT = 500_000
 #: Edges (after the first contraction) that one task may finish; a few megabytes.
 IN_ONE_TASK = 50_000
+#: So many times as many may hold edges that several tasks found.
+REPEATED = 4
 #: Moves of centres that may be broadcast.
 MOST_BROADCAST = 100_000
 SALTS = 16
@@ -23,7 +25,7 @@ def components(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """(a, b) edges -> (node, root): every node that has an edge, with the least node of its component.
 
     First each task replaces the edges it holds by least stars of their components, without a shuffle; up to in_one_task
-    edges, a single task then does the rest. Otherwise rounds follow: a node with several smaller neighbours links them
+    edges (REPEATED times as many while several tasks may have found the same), a single task then does the rest. Otherwise rounds follow: a node with several smaller neighbours links them
     to the least one and keeps only that, and a star whose centre has a smaller neighbour moves there, so long chains
     shrink geometrically. A node's neighbours are never gathered in a row, and the edges of a large star are never dealt
     by their centre alone. Each round is written to the shared folder; the rounds end when the edges are stars with
@@ -31,12 +33,15 @@ def components(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """
     pairs = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     kind = pairs.schema["u"].dataType.simpleString()
-    current = materialize(pairs.mapInPandas(contract, f"u {kind}, v {kind}").distinct(), "stars")
-    if current.count() <= in_one_task:
-        current = replaced(current, current.coalesce(1).mapInPandas(contract, f"u {kind}, v {kind}"))
-    else:
-        while not is_forest(current):  # every round moves a node to a smaller one, so this ends
-            current = replaced(current, *shortened(current))
+    current = materialize(pairs.mapInPandas(contract, f"u {kind}, v {kind}"), "stars")
+    few = current.count() <= REPEATED * in_one_task
+    if not few:
+        current = replaced(current, current.distinct())
+        few = current.count() <= in_one_task
+    if few:
+        return replaced(current, current.coalesce(1).mapInPandas(rooted, f"node {kind}, root {kind}"))
+    while not is_forest(current):  # every round moves a node to a smaller one, so this ends
+        current = replaced(current, *shortened(current))
     roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -97,6 +102,13 @@ def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
+def rooted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All edges (u, v), fewer than CONTRACT nodes -> (node, root) of every node."""
+    for stars in contract(batches):
+        roots = stars["v"].drop_duplicates()
+        yield pd.DataFrame({"node": pd.concat([stars["u"], roots]), "root": pd.concat([stars["v"], roots])})
+
+
 def is_forest(stars: DataFrame) -> bool:
     """Every node has one edge to a smaller node, or only edges to greater ones."""
     ends = stars.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(stars.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))

@@ -99,6 +99,17 @@ def minimum_hashes(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
+def sketch_bytes(least: np.ndarray) -> bytes:
+    """A sketch's low bytes, then its second bytes and so on, so that its low bytes are the first COORDINATES of it."""
+    return least.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def sketch_values(sketches: pd.Series) -> np.ndarray:
+    """Matrix of the 32-bit values of a column of sketches."""
+    parts = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, 4, COORDINATES)
+    return np.ascontiguousarray(parts.transpose(0, 2, 1)).view("<u4")[:, :, 0]
+
+
 def set_key(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
@@ -125,7 +136,7 @@ def profile(docs: DataFrame) -> DataFrame:
                     s = shingles(t)
                     keys.append(set_key(s) if len(s) else None)
                     sizes.append(len(s))
-                    sketches.append(minimum_hashes(s, a, b).tobytes() if len(s) else None)
+                    sketches.append(sketch_bytes(minimum_hashes(s, a, b)) if len(s) else None)
                 yield pd.DataFrame({"doc_id": part["doc_id"].values, "rep": part["rep"].values, "key": keys, "size": sizes, "sketch": sketches})
 
     return id_restored(id_as_text(docs).mapInPandas(run, "doc_id string, rep long, key binary, size long, sketch binary"), docs)
@@ -156,7 +167,7 @@ def first_nodes(threshold: float, runs: int):
         for batch in batches:
             if not len(batch):
                 continue
-            sketch = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, COORDINATES)
+            sketch = sketch_values(batch["sketch"])
             out = []
             for r, path in paths:
                 name = np.full(len(batch), r + 1, np.uint64)
@@ -175,7 +186,7 @@ def children(threshold: float):
         for batch in batches:
             if not len(batch):
                 continue
-            sketch = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, COORDINATES)
+            sketch = sketch_values(batch["sketch"])
             keys = batch["key"].to_numpy()
             for parent, rows in batch.groupby("node").indices.items():
                 for c in chosen(int(parent), threshold / 2):
@@ -403,8 +414,7 @@ def class_table(profiles: DataFrame) -> DataFrame:
     """(key, first, copies, size, sketch, small): one row per shingle set; first has the least id and the name of its row."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "rep"))
     classes = profiles.filter("key IS NOT NULL").groupBy("key").agg(first.alias("first"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
-    low_bytes = F.pandas_udf(lambda s: s.map(lambda x: np.frombuffer(x, np.uint32).astype(np.uint8).tobytes()), "binary")
-    return materialize(classes.withColumn("small", low_bytes("sketch")), "classes")
+    return materialize(classes.withColumn("small", F.substring("sketch", 1, COORDINATES)), "classes")
 
 
 def members_with_texts(docs: DataFrame, classes: DataFrame, threshold: float, runs: int) -> DataFrame:

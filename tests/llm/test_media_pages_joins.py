@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortix.llm import flac, graph, htmltext, ngramjoin, pii, quality
@@ -370,3 +371,28 @@ def test_pipeline_stages(spark, make_docs, tmp_path):
 def eval_rule(sql, measures):
     expression = sql.replace(" AND ", " and ").replace(" OR ", " or ")
     return eval(expression, {}, dict(zip(quality.MEASURES, measures, strict=True)))  # noqa: S307
+
+
+def test_a_filter_of_ids_is_one_job(spark, monkeypatch):
+    """An iterator over partitions would be a job for each, whatever they hold."""
+    from cohortix.llm.common import may_contain
+
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", None)
+    found = spark.range(2000).filter(may_contain(spark.range(0, 40_000, 20), F.col("id"))).select("id").collect()
+    assert {r["id"] for r in found} >= set(range(0, 2000, 20)) and len(found) < 200
+
+
+def test_few_edges_are_not_dealt_anew(spark, monkeypatch):
+    """Edges that several tasks have found go to the last task without a shuffle, and its table holds the roots too."""
+    edges = spark.createDataFrame([(3, 2), (2, 1), (5, 4), (3, 1)], "a long, b long").repartition(4).cache()
+    edges.count()
+    found = graph.components(edges)
+    assert {r["node"]: r["root"] for r in found.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert "Exchange" not in found._jdf.queryExecution().toString() and found.count() == 5
+
+
+def test_low_bytes_of_a_sketch_come_first():
+    least = np.random.default_rng(7).integers(0, 1 << 32, ngramjoin.COORDINATES, dtype=np.uint32)
+    sketch = ngramjoin.sketch_bytes(least)
+    assert sketch[: ngramjoin.COORDINATES] == least.astype(np.uint8).tobytes()
+    assert (ngramjoin.sketch_values([sketch, sketch]) == least).all()
