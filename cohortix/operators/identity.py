@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
@@ -20,6 +20,8 @@ from .similarity import BLOCK, CHUNK, MOST_PARTS, STRIP, unit_rows
 BINS, MOST_VALUES, SLACK = 4096, 200_000, 1e-12
 #: Where the variance of products is less than this share of their mean square, it is not taken from sums.
 FLAT = 1e-6
+#: Vectors in a block where pairs are only counted; a block of fewer than FEW is not worth that, as ranks are then often tied with a limit.
+WIDE, FEW = 2 * BLOCK, 24
 
 
 @dataclass(frozen=True)
@@ -56,14 +58,15 @@ def member_pairs(members: DataFrame, limits: Limits) -> DataFrame:
 
 def unit_or_none(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """(rows at unit length filled up with zeros, their lengths): a missing vector is NaN, as is one with a missing element."""
-    lengths = np.array([-1 if x is None else len(x) for x in vectors])
+    values = vectors.to_numpy()
+    lengths = np.array([-1 if x is None else len(x) for x in values])
     v = np.zeros((len(lengths), max(0, lengths.max(initial=0))))
     for n in np.unique(lengths):
         rows = np.flatnonzero(lengths == n)
         if n < 0:
             v[rows] = np.nan
         elif n > 0:
-            x = np.asarray([vectors.iloc[r] for r in rows], float)
+            x = np.concatenate(list(values[rows])).astype(float).reshape(len(rows), n)
             size = np.sqrt((x * x).sum(axis=1, keepdims=True))
             v[rows, :n] = x / np.where(size < V.TINY, 1.0, size)
     return v, lengths
@@ -137,8 +140,8 @@ def margin(v: np.ndarray) -> float:
     return (v.shape[1] + 4) * 2.0**-23
 
 
-def plain_part(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits) -> dict | None:
-    """What ``pair_parts`` has of a pair of blocks: sums in closed form, the least product from double precision, counts in bins from single precision; None where the deviation is too small for sums."""
+def plain_sums(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits) -> dict | None:
+    """Count, means and squared deviations of a pair of blocks' pairs in closed form; None where the deviation is too small for sums."""
     w, n = limits.colour_weight, len(first) * (len(first) - 1) // 2 if alone else len(first) * len(last)
     if not n:
         return None
@@ -152,6 +155,14 @@ def plain_part(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits)
     apart = squares - total * total / n
     if apart < FLAT * squares or squares <= 0:
         return None
+    return {"n": n, "reid_sum": total, "mean": (1.0 - w) * total / n + 0.5 * w, "square": (1.0 - w) ** 2 * apart, "own_sum": 0.5 * n, "p10": None}
+
+
+def plain_part(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits) -> dict | None:
+    """What ``pair_parts`` has of a pair of blocks: sums in closed form, the least product from double precision, counts in bins from single precision; None where ``plain_sums`` has none."""
+    if not (sums := plain_sums(first, last, alone, limits)):
+        return None
+    w, n = limits.colour_weight, sums["n"]
     least, near, bins, scale = np.inf, 2 * margin(first), np.zeros(BINS + 1, np.int64), BINS / 2
     for at, start, rough in rough_strips(first, last, alone):
         if rough.min(initial=np.inf) <= least + near:
@@ -165,7 +176,42 @@ def plain_part(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits)
     reid_min, shift = max(-1.0, min(1.0, least)), 0.5 * w
     # a product that rounding takes beyond the last bin counts in it
     bins[BINS - 1] += n - bins[:BINS].sum()
-    return {"n": n, "reid_sum": total, "reid_min": reid_min, "mean": (1.0 - w) * total / n + shift, "square": (1.0 - w) ** 2 * apart, "combined_min": (1.0 - w) * reid_min + shift, "own_sum": 0.5 * n, "p10": None, "bins": bins[:BINS], "slack": near}
+    return sums | {"reid_min": reid_min, "combined_min": (1.0 - w) * reid_min + shift, "bins": bins[:BINS], "slack": near}
+
+
+def plain_doubts(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits) -> dict | None:
+    """As ``plain_part``, with what ``should_split`` compares alone: the number of values below ``split_p10`` as the only bin, and least values where they are below ``split_large_min``.
+
+    Single precision tells which values are worked out in double precision. Where the blocks show that the label is
+    large, a value below ``split_large_min`` decides it, so the rest of their pairs is not counted.
+    """
+    members = len(first) + (0 if alone else len(last))
+    if limits.colour_weight >= 1 or members < FEW or not (sums := plain_sums(first, last, alone, limits)):
+        return None
+    w, near, below, least, large = limits.colour_weight, 2 * margin(first), 0, np.inf, members >= max(24, limits.split_size)
+    edge, floor = ((x - 0.5 * w) / (1.0 - w) for x in (limits.split_p10, limits.split_large_min))
+    sure, maybe, floor = np.float32(edge - near), np.float32(edge + near), np.float32(floor + near)
+
+    def exact(i: np.ndarray, j: np.ndarray) -> Iterator[np.ndarray]:
+        for k in range(0, len(i), CHUNK):
+            yield (1.0 - w) * np.clip(np.einsum("ij,ij->i", first[i[k : k + CHUNK]], last[j[k : k + CHUNK]]), -1, 1) + w * 0.5
+
+    for at, start, rough in rough_strips(first, last, alone):
+        if rough.min(initial=np.inf) <= floor:
+            i, j = np.nonzero(rough <= floor)
+            for x in exact(at + i, start + j):
+                least = min(least, float(x.min()))
+                if large and least < limits.split_large_min:
+                    break
+            if large and least < limits.split_large_min:
+                break
+        known = np.count_nonzero(rough < sure)
+        below += known
+        if np.count_nonzero(rough <= maybe) > known:
+            i, j = np.nonzero((rough >= sure) & (rough <= maybe))
+            below += sum(int((x < limits.split_p10).sum()) for x in exact(at + i, start + j))
+    least = least if least < limits.split_large_min else np.inf
+    return sums | {"reid_min": np.inf, "combined_min": least, "bins": [below], "slack": 0.0}
 
 
 def plain_values(first: np.ndarray, last: np.ndarray, alone: bool, limits: Limits, low: float, high: float) -> tuple[int, np.ndarray]:
@@ -214,18 +260,22 @@ def in_blocks(members: DataFrame, block: int) -> tuple[DataFrame, bool]:
     return rows.repartition(min(MOST_PARTS, int(units or 0) + buckets), "_big", "_low", "_high"), (most or 0) > 1
 
 
-def pair_parts(blocks: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
-    """Per label and pair of blocks: count, means, least values, squared deviations and p10 of its pairs, or, where a label has several blocks, how many values fall into each of BINS bins instead of p10."""
+def in_bins(combined: np.ndarray) -> np.ndarray:
+    return binned(combined, -1.0, 1.0)
+
+
+def pair_parts(blocks: DataFrame, limits: Limits, coloured: bool, plain_way: Callable = plain_part, counts: Callable = in_bins, whole_too: bool = False) -> DataFrame:
+    """Per label and pair of blocks: count, means, least values, squared deviations and p10 of its pairs, or, where a label has several blocks, how many values fall into each of BINS bins (or what ``counts`` has) instead of p10; so too, with ``whole_too``, where ``plain_way`` has a label of one block."""
     w = limits.colour_weight
     kind = blocks.schema["label"].dataType.simpleString()
 
     def one(frame: pd.DataFrame) -> dict | None:
         whole = bool(frame["_big"].isna().all())
-        if not whole and (plain := plain_blocks(frame, limits, coloured)) and (part := plain_part(*plain, limits)):
+        if (whole_too or not whole) and (plain := plain_blocks(frame, limits, coloured)) and (part := plain_way(*plain, limits)):
             return {"label": frame["label"].iloc[0], **part}
         n, reid_sum, mean, square, own_sum = 0, 0.0, 0.0, 0.0, 0.0
         reid_min = combined_min = np.inf
-        values, bins = [], np.zeros(BINS, np.int64)
+        values, bins = [], counts(np.empty(0))
         for reid, combined in pair_strips(frame, limits, coloured):
             k, m = len(reid), combined.mean()
             apart = combined - m
@@ -236,7 +286,7 @@ def pair_parts(blocks: DataFrame, limits: Limits, coloured: bool) -> DataFrame:
             if whole:
                 values.append(combined)
             else:
-                bins += binned(combined, -1.0, 1.0)
+                bins = bins + counts(combined)
         if not n:
             return None
         p10 = float(np.percentile(np.concatenate(values), 10)) if whole else None
@@ -309,17 +359,22 @@ def exact_p10(blocks: DataFrame, parts: DataFrame, limits: Limits, coloured: boo
         big = big.join(F.broadcast(rest.select("label")), "label", "left_semi")
 
 
+def pooled(parts: DataFrame, *more: Column) -> DataFrame:
+    """The statistics of ``pair_stats`` from those of the pairs of blocks, and more aggregates of them; ``combined_p10`` is missing where a label has several blocks."""
+    mean = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy("label")) / F.sum("n").over(Window.partitionBy("label"))
+    apart = parts.withColumn("_mean", mean).withColumn("_square", F.col("square") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2)
+    return apart.groupBy("label").agg(
+        (F.sum("reid_sum") / F.sum("n")).alias("reid_mean"), F.min("reid_min").alias("reid_min"), F.first("_mean").alias("combined_mean"), F.min("combined_min").alias("combined_min"),
+        F.max("p10").alias("combined_p10"), F.sqrt(F.sum("_square") / F.sum("n")).alias("combined_std"), (F.sum("own_sum") / F.sum("n")).alias("color_mean"), *more,
+    )
+
+
 def pair_stats(members: DataFrame, limits: Limits, block: int = BLOCK) -> DataFrame:
     """(label, reid_mean, reid_min, combined_mean, combined_min, combined_p10, combined_std, color_mean) over the pairs of each label, exact, by products of blocks; no pair leaves its task, but for the values around p10."""
     coloured = "colour" in members.columns
     blocks, several = in_blocks(members, block)
     parts = materialize(pair_parts(blocks, limits, coloured), "pairs")
-    mean = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy("label")) / F.sum("n").over(Window.partitionBy("label"))
-    apart = parts.withColumn("_mean", mean).withColumn("_square", F.col("square") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2)
-    out = apart.groupBy("label").agg(
-        (F.sum("reid_sum") / F.sum("n")).alias("reid_mean"), F.min("reid_min").alias("reid_min"), F.first("_mean").alias("combined_mean"), F.min("combined_min").alias("combined_min"),
-        F.max("p10").alias("combined_p10"), F.sqrt(F.sum("_square") / F.sum("n")).alias("combined_std"), (F.sum("own_sum") / F.sum("n")).alias("color_mean"),
-    )
+    out = pooled(parts)
     if not several:
         return out
     return out.join(exact_p10(blocks, parts, limits, coloured), "label", "left").withColumn("combined_p10", F.coalesce("combined_p10", "p10")).drop("p10")
@@ -341,13 +396,35 @@ def stats(members: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return out.withColumn("reasons", F.array_compact(F.array(*reasons)))
 
 
-def should_split(limits: Limits = Limits()):
-    """The condition over the columns of ``stats``."""
-    loose = (F.col("combined_p10") < limits.split_p10) & (F.col("combined_std") > limits.split_std)
+def should_split(limits: Limits = Limits(), low: Column | None = None):
+    """The condition over the columns of ``stats``; ``low`` says whether p10 is below its limit."""
+    low = F.col("combined_p10") < limits.split_p10 if low is None else low
+    loose = low & (F.col("combined_std") > limits.split_std)
     large = (F.col("size") >= 24) & (F.col("combined_min") < limits.split_large_min)
     return (F.col("size") >= limits.split_size) & ((F.col("combined_mean") < limits.split_mean) | (F.col("color_mean") < limits.split_colour) | loose | large)
 
 
+def split_flags(members: DataFrame, limits: Limits = Limits(), block: int = WIDE) -> DataFrame:
+    """(label, should_split) as ``stats`` and ``should_split`` have it, exact, from counts: p10 is below its limit if enough values are, so it is worked out only where the limit lies between the two values that it is interpolated from."""
+    coloured = "colour" in members.columns
+
+    def below(combined: np.ndarray) -> np.ndarray:
+        return np.array([(combined < limits.split_p10).sum()])
+
+    parts = pair_parts(in_blocks(members, block)[0], limits, coloured, plain_doubts, below, whole_too=True)
+    found = pooled(parts, F.sum("n").alias("_pairs"), F.sum(F.element_at("bins", 1)).alias("_below"))
+    out = members.groupBy("label").agg(F.count("*").alias("size")).join(found, "label", "left")
+    rank = F.floor((F.col("_pairs") - 1) * 0.1)
+    low = F.when(F.col("_pairs").isNull(), F.lit(1.0) < limits.split_p10).when(F.col("combined_p10").isNotNull(), F.col("combined_p10") < limits.split_p10).when(F.col("_below") <= rank, False).when(F.col("_below") >= rank + 2, True)
+    ones = {c: F.coalesce(c, F.lit(1.0)) for c in ("combined_mean", "combined_min", "color_mean")} | {"combined_std": F.coalesce("combined_std", F.lit(0.0))}
+    out = materialize(out.withColumns(ones).select("label", should_split(limits, low).alias("should_split")), "flags")
+    open_ = out.filter("should_split IS NULL").select("label")
+    if open_.isEmpty():
+        return out
+    exact = stats(members.join(F.broadcast(open_), "label", "left_semi"), limits).select("label", should_split(limits).alias("should_split"))
+    return out.filter("should_split IS NOT NULL").unionByName(exact)
+
+
 def split(members: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, label): members whose label should be split are clustered again on the combined distance; the part with the least member keeps the label, others are named by their least member."""
     doubtful = stats(members, limits).filter(should_split(limits)).select("label")

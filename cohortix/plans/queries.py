@@ -388,7 +388,7 @@ def should_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dataclasses import replace
 
     limits = replace(LOOSE, split_mean=0.12505)
-    return identity.stats(D.vectors(spark, sf_dir), limits).select("label", identity.should_split(limits).alias("should_split"))
+    return identity.split_flags(D.vectors(spark, sf_dir), limits)
 
 
 @query()

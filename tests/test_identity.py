@@ -387,6 +387,45 @@ def test_should_split_of_plain_vectors_needs_no_strips(spark, tmp_path, monkeypa
     assert {r["label"]: r["should_split"] for r in queries.should_split(spark, str(tmp_path)).collect()} == want
 
 
+def test_should_split_needs_no_percentile(spark, tmp_path, monkeypatch):
+    """Values below the limit are counted; the percentile is searched for only where the limit lies between its two neighbours."""
+    combined = labelled(spark, tmp_path)
+    monkeypatch.setattr(identity, "pair_stats", None)
+    want = {k: c.mean() < 0.12505 or c.min() < -0.3 or (np.percentile(c, 10) < 0.05 and c.std() > 0.09) for k, c in enumerate(combined)}
+    assert {r["label"]: r["should_split"] for r in queries.should_split(spark, str(tmp_path)).collect()} == want
+
+
+def test_flags_where_the_limit_lies_between_the_neighbours_of_p10(spark):
+    v = np.random.default_rng(8).standard_normal((60, 3)) + 1
+    members = spark.createDataFrame([(i, 1, [float(y) for y in x]) for i, x in enumerate(v)], "id long, label long, embedding array<double>").cache()
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = np.sort(0.75 * (u @ u.T)[np.triu_indices(60, 1)] + 0.125)
+    rank = int((len(x) - 1) * 0.1)
+    gap = x[rank + 1] - x[rank]
+    share = (len(x) - 1) * 0.1 - rank
+    assert 0.1 < share < 0.95 and gap > 1e-9
+    for at in (x[rank - 1], x[rank] + gap * (share - 0.05), x[rank] + gap * (share + 0.04), x[rank + 2]):
+        limits = identity.Limits(split_mean=-1, split_colour=-1, split_p10=float(at), split_std=0.01, split_large_min=-2)
+        assert identity.split_flags(members, limits, 25).first()["should_split"] == (np.percentile(x, 10) < at)
+
+
+def test_flags_equal_those_of_statistics(spark):
+    """Also with colours, broken vectors, copies, labels of one member, and least values at the limit."""
+    rng = np.random.default_rng(1)
+    data = [(i, int(rng.choice([1, 1, 1, 2, 3, 4])), [float(y) for y in np.r_[rng.standard_normal(3), 1]], [float(y) for y in rng.random(2)] if i % 3 else None) for i in range(250)]
+    data += [(300 + i, 5, [1.0, 2.0, 3.0, 4.0 + (i == 7) * 1e-7], [1.0, 0.5]) for i in range(60)]
+    data += [(400, 1, None, [0.6, 0.8]), (401, 2, [1.0, float("nan"), 0.0, 1.0], None), (402, 2, [0.0] * 4, [1.0, 0.0]), (403, 6, [1.0] * 4, None), (404, None, [1.0] * 4, None), (None, 6, [1.0] * 4, None)]
+    full = spark.createDataFrame(data, "id long, label long, embedding array<double>, colour array<double>").cache()
+    off = {"split_mean": -1, "split_colour": -1, "split_p10": -2, "split_large_min": -2}
+    for members in (full, full.drop("colour")):
+        known = {r["label"]: r for r in identity.stats(members, identity.Limits()).collect()}
+        least, p10 = known[3]["combined_min"], known[4]["combined_p10"]
+        for own, block in (({"split_large_min": least + 1e-9}, 20), ({"split_large_min": least - 1e-9, "split_colour": 0.52}, 20), ({"split_p10": p10 + 0.05, "split_std": 0.01}, 20), ({"split_p10": p10 + 0.05, "split_std": 0.01}, 8192)):
+            limits = identity.Limits(**off | own)
+            want = {k: r["size"] >= 8 and (r["combined_mean"] < limits.split_mean or r["color_mean"] < limits.split_colour or r["combined_p10"] < limits.split_p10 and r["combined_std"] > limits.split_std or r["size"] >= 24 and r["combined_min"] < limits.split_large_min) for k, r in known.items()}
+            assert {r["label"]: r["should_split"] for r in identity.split_flags(members, limits, block).collect()} == want
+
+
 def test_split_without_colours_makes_no_matrix(spark, monkeypatch):
     v = np.random.default_rng(6).standard_normal((60, 3))
     members = spark.createDataFrame([(i, 5, [float(y) for y in x]) for i, x in enumerate(v)], "id long, label long, embedding array<double>")
